@@ -1,0 +1,30 @@
+from pyspark.sql import functions as F
+
+from varve.operators import episode_vs_baseline
+
+BASE = "id string, name string, month int, mm double"
+
+
+def test_ratio_of_daily_maximum_to_mean(spark, rows):
+    baseline = spark.createDataFrame(
+        [("A", "a", 10, 1.0), ("A", "a", 1, 3.0), ("B", "b", 10, 0.0), ("C", "c", 10, 5.0)], BASE
+    )
+    episode = spark.createDataFrame(
+        [("A", "a", 10, 185.0), ("A", "a", 10, 20.25), ("B", "b", 10, 7.0), ("Z", "z", 10, 1.0)], BASE
+    )
+    got = episode_vs_baseline(episode, baseline, "id", "name", "mm")
+    assert [tuple(r) for r in got.collect()] == [("a", 205.3, 185.0, 2.0, 92.5), ("b", 7.0, 7.0, 0.0, None)]
+
+
+def test_baseline_filter_narrows_the_baseline(spark):
+    baseline = spark.createDataFrame([("A", "a", 10, 1.0), ("A", "a", 1, 3.0)], BASE)
+    episode = spark.createDataFrame([("A", "a", 10, 4.0)], BASE)
+    got = episode_vs_baseline(episode, baseline, "id", "name", "mm", F.col("month") == 10)
+    assert got.first()["times_baseline"] == 4.0
+
+
+def test_a_renamed_place_gives_a_row_per_name(spark):
+    baseline = spark.createDataFrame([("A", "old", 10, 1.0), ("A", "new", 10, 2.0)], BASE)
+    episode = spark.createDataFrame([("A", "new", 10, 4.0)], BASE)
+    got = episode_vs_baseline(episode, baseline, "id", "name", "mm").collect()
+    assert [(r["name"], r["times_baseline"]) for r in got] == [("new", 4.0), ("new", 2.0)]

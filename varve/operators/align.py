@@ -8,40 +8,46 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_OWNER = "_null_owner"
+_SOURCE = "_source_bit"
 
-def align(sources: Sequence[DataFrame], key: str, unique: bool = False) -> DataFrame:
+
+def align(sources: Sequence[DataFrame], key: str, detail: DataFrame | None = None) -> DataFrame:
     """One row per key with the columns of every source; NULL where a source lacks the key.
 
-    A NULL key matches nothing and stays a row of its own. Apart from ``key`` the sources must
-    not share column names. Aggregate each source to its key before aligning.
+    Gives the rows of a chain of full outer joins on the coalesced key: a NULL key matches
+    nothing, so each source's NULL row stays a row of its own. Apart from ``key`` the frames
+    must not share column names.
 
-    With ``unique=True`` the caller states that no source repeats a key (the NULL key
-    included), as any ``groupBy(key)`` guarantees. All sources then meet in one shuffle, where
-    a chain of joins sorts and shuffles again at each link. Repeated keys need the default.
+    No source may repeat a key, the NULL key included; ``groupBy(key)`` sees to that, and a
+    repeat fails the query. All sources then meet in one grouping, without the sort and shuffle
+    that a join costs at each link. ``detail`` is the one frame that may repeat keys: each of
+    its rows receives the aligned columns, and keys it lacks follow.
     """
-    if unique:
-        return _align_unique(sources, key)
-    return reduce(lambda left, right: _full_outer(left, right, key), sources)
-
-
-def _full_outer(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    other = "_other_key"
-    joined = left.join(
-        right.withColumnRenamed(key, other), F.col(key) == F.col(other), "full_outer"
-    )
-    return joined.withColumn(key, F.coalesce(F.col(key), F.col(other))).drop(other)
+    merged = _merge(sources, key)
+    if detail is None:
+        return merged
+    # Left and anti join together give the full outer join, but both can broadcast the aligned
+    # rows while they are few, and both let Spark split a key with very many detail rows.
+    matched = detail.join(merged, key, "left")
+    unmatched = merged.join(detail.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def _align_unique(sources: Sequence[DataFrame], key: str) -> DataFrame:
+def _merge(sources: Sequence[DataFrame], key: str) -> DataFrame:
     # The owner keeps the NULL keys of different sources in different groups.
-    owner = "_null_owner"
     tagged = [
-        source.withColumn(owner, F.when(F.col(key).isNull(), F.lit(i)))
+        source.withColumns(
+            {_OWNER: F.when(F.col(key).isNull(), F.lit(i)), _SOURCE: F.lit(1 << i).cast("bigint")}
+        )
         for i, source in enumerate(sources)
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     values = [c for source in sources for c in source.columns if c != key]
-    merged = stacked.groupBy(key, owner).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in values]
+    merged = stacked.groupBy(key, _OWNER).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in values],
+        (F.count(F.lit(1)) == F.bit_count(F.bit_or(_SOURCE))).alias("_once"),
     )
-    return merged.drop(owner)
+    repeated = F.raise_error(F.lit(f"align: a source repeats a value of {key}"))
+    checked = merged.where(F.when(F.col("_once"), F.lit(True)).otherwise(repeated.cast("boolean")))
+    return checked.select(key, *values)

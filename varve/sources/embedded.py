@@ -137,15 +137,18 @@ def _bounds(marked: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("pos", "line")).alias("_head"))
         .select("file", F.col("_head.pos").alias("_head_pos"), F.col("_head.line").alias("header"))
     )
-    stops = (
-        marked.where(~F.col("is_row"))
-        .select("file", "pos")
-        .join(heads.select("file", "_head_pos"), "file")
-        .where(F.col("pos") > F.col("_head_pos"))
+    # The header itself is among these lines, so a file whose table runs to its end stays.
+    outside = marked.where(F.col("is_header") | ~F.col("is_row")).select("file", "pos")
+    past = F.when(F.col("pos") > F.col("_head_pos"), F.col("pos"))
+    return (
+        outside.join(heads, "file")
         .groupBy("file")
-        .agg(F.min("pos").alias("_stop_pos"))
+        .agg(
+            F.first("_head_pos").alias("_head_pos"),
+            F.first("header").alias("header"),
+            F.min(past).alias("_stop_pos"),
+        )
     )
-    return heads.join(stops, "file", "left")
 
 
 def _table_lines(marked: DataFrame) -> DataFrame:
