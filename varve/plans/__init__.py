@@ -14,10 +14,11 @@ from varve.plans.clean import (
     clean_stations,
     clean_tracks,
 )
-from varve.plans.refresh import Inputs, refresh
+from varve.plans.refresh import Inputs, TableRun, refresh
 
 __all__ = [
     "Inputs",
+    "TableRun",
     "clean_episode",
     "clean_gistemp",
     "clean_oisst",

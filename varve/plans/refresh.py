@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from varve.operators import drop_units_row, stamp
 from varve.plans import aggregates, clean, layouts
-from varve.sinks import comments_from_dictionary, save_table
+from varve.sinks import comments_from_dictionary, observed, save_table
 from varve.sources import read_embedded_table, read_records, read_strings
 
 SCHEMAS = ("bronze", "silver", "gold")
@@ -63,46 +63,58 @@ COLUMN_COMMENTS = {
 }
 
 
+@dataclass(frozen=True)
+class TableRun:
+    """What a run did to one table."""
+
+    rows: int
+    rows_read: int
+    undocumented: list[str]
+
+
 def refresh(
     spark: SparkSession, inputs: Inputs, run_date: dt.date | str | None = None
-) -> dict[str, list[str]]:
+) -> dict[str, TableRun]:
     """Rebuild every table in the schemas bronze, silver and gold of the current catalog.
 
     Each layer reads the stored tables of the one before, so nothing is computed twice and a
-    failed run can start again at any table. Returns, per table, the documented names it lacks.
+    failed run can start again at any table. Per table the result holds the rows written, the
+    rows read before a units line was dropped, and the documented names that are no columns;
+    rows are counted by the writes themselves.
     """
     for schema in SCHEMAS:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    missing: dict[str, list[str]] = {}
+    done: dict[str, TableRun] = {}
 
     def store(
-        name: str, df: DataFrame, column_comments: Mapping[str, str] | None = None
+        name: str,
+        df: DataFrame,
+        column_comments: Mapping[str, str] | None = None,
+        units: tuple[str, str] | None = None,
     ) -> DataFrame:
         comments = column_comments or COLUMN_COMMENTS.get(name)
-        missing[name] = save_table(df, name, TABLE_COMMENTS.get(name), comments)
+        source, read = observed(df)
+        kept, written = observed(drop_units_row(source, *units) if units else source)
+        missing = save_table(kept, name, TABLE_COMMENTS.get(name), comments)
+        done[name] = TableRun(written.get["rows"], read.get["rows"], missing)
         return spark.table(name)
 
+    def stamped(df: DataFrame) -> DataFrame:
+        return stamp(df, run_date=run_date)
+
     gistemp_raw = store(
         "bronze.nasa_gistemp_raw",
-        stamp(
-            read_embedded_table(spark, inputs.gistemp, layouts.GISTEMP_COLUMNS), run_date=run_date
-        ),
+        stamped(read_embedded_table(spark, inputs.gistemp, layouts.GISTEMP_COLUMNS)),
     )
     oisst_raw = store(
         "bronze.noaa_oisst_raw",
-        stamp(
-            drop_units_row(
-                read_strings(spark, inputs.oisst, layouts.OISST_COLUMNS), *layouts.OISST_UNITS
-            ),
-            run_date=run_date,
-        ),
+        stamped(read_strings(spark, inputs.oisst, layouts.OISST_COLUMNS)),
+        units=layouts.OISST_UNITS,
     )
     tracks_raw = store(
         "bronze.noaa_ibtracs_raw",
-        stamp(
-            drop_units_row(read_strings(spark, inputs.tracks), *layouts.TRACKS_UNITS),
-            run_date=run_date,
-        ),
+        stamped(read_strings(spark, inputs.tracks)),
+        units=layouts.TRACKS_UNITS,
     )
     fields = ", ".join(f"{name} STRING" for name in layouts.STATION_FIELDS)
     dictionary = comments_from_dictionary(inputs.dictionary)
@@ -128,4 +140,4 @@ def refresh(
     store("gold.resumen_anual", aggregates.yearly_summary(gistemp, oisst, tracks, stations))
     store("gold.dana_vs_normal", aggregates.episode_against_normal(episode, stations))
     store("gold.hist_meteo_esp", aggregates.unified_history(stations, episode))
-    return missing
+    return done

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.functions import safe, strict_date
@@ -21,13 +21,15 @@ def _text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*raw, day)
 
 
-_TYPED = {
-    "event_id": safe("event_id", "bigint"),
-    "user_id": safe("user_id", "bigint"),
-    "event_type": "event_type",
-    "value": safe("value", "double"),
-    "props": "props",
-}
+def _typed() -> dict[str, Column | str]:
+    return {
+        "event_id": safe("event_id", "bigint"),
+        "user_id": safe("user_id", "bigint"),
+        "event_type": "event_type",
+        "value": safe("value", "double"),
+        "props": "props",
+    }
+
 
 _PLAIN_SQL = "SELECT event_id, user_id, event_type, value, props, CAST(ts AS DATE) AS {day} FROM events"
 
@@ -38,7 +40,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_records(_text_events(spark, sf_dir), path, date_column="fecha")
     schema = ", ".join(f"{c} STRING" for c in _TEXT) + ", ingest_date DATE"
     landed = read_records(spark, path, schema)
-    return project(landed, {**_TYPED, "ingest_date": "ingest_date"})
+    return project(landed, {**_typed(), "ingest_date": "ingest_date"})
 
 
 @query(_PLAIN_SQL.format(day="fecha"))
@@ -46,7 +48,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     _text_events(spark, sf_dir).write.option("header", True).csv(path)
     text = read_strings(spark, path, _TEXT)
-    return project(text, {**_TYPED, "fecha": strict_date("fecha")})
+    return project(text, {**_typed(), "fecha": strict_date("fecha")})
 
 
 @query("SELECT event_id, user_id, event_type, value, props, CAST(ts AS DATE) AS fecha FROM events")
