@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,19 @@ def test_safe_int_refuses_fractions(spark):
     ]
 
 
+@pytest.mark.parametrize("to", ["int", "bigint", "double"])
+def test_safe_agrees_with_the_plain_cast_on_any_text(spark, to):
+    rng = random.Random(5)
+    alphabet = "0123456789" * 3 + "+-.,eEdDfFxX nNaAiIyYtT\t\n\u0001\u0085\u00a0\u0663"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 6))) for _ in range(20_000)]
+    texts += ["NaN", "nan", "inf", "-inf", "+Infinity", "infinity", "1e3", "12d", "12f", "0x1p3"]
+    texts += [" 45 ", "\t7\n", "-.05", "5.", ".", "+", "2147483648", "9223372036854775808"]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    differing = df.where(~F.col("c").try_cast(to).eqNullSafe(safe("c", to)))
+    assert differing.collect() == []
+    assert df.where(safe("c", to).isNotNull()).count() > 100
+
+
 def test_safe_timestamp(spark):
     got = evaluate(spark, ["2020-08-01 06:00:00", "bad", None], lambda c: safe(c, "timestamp"))
     assert got == [dt.datetime(2020, 8, 1, 6), None, None]

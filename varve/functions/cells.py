@@ -15,13 +15,33 @@ def column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _plausible(c: Column, to: str) -> Column:
+    """FALSE only for text that cannot cast to a number, told by its first character.
+
+    A number begins with a digit, a sign, a point or a control character, all of which sort
+    before the colon; a double may also begin as NaN or Infinity do.
+    """
+    head = F.ltrim(c)
+    numeric = (head > "") & (head < ":")
+    if to == "double":
+        return numeric | F.substring(head, 1, 1).isin("N", "n", "I", "i")
+    return numeric
+
+
 def safe(c: Column | str, to: str) -> Column:
-    """Cast that gives NULL where the text does not parse.
+    """Cast of text that gives NULL where it does not parse.
 
     Surrounding blanks are ignored. ``NaN``, ``inf`` and ``1e3`` are valid doubles;
     ``18.4`` is not a valid int.
+
+    A failing cast to a number raises and catches an error inside Spark, which costs tens of
+    times what a good one does. Blanks and codes, which fill much of a dirty column, are
+    therefore told apart first.
     """
-    return column(c).try_cast(to)
+    cast = column(c).try_cast(to)
+    if to in ("int", "bigint", "double"):
+        return F.when(_plausible(column(c), to), cast)
+    return cast
 
 
 def strict_date(c: Column | str) -> Column:
@@ -31,7 +51,7 @@ def strict_date(c: Column | str) -> Column:
 
 def locale_double(c: Column | str, decimal: str = ",") -> Column:
     """A number written with ``decimal`` as its decimal mark, NULL where it does not parse."""
-    return F.replace(column(c), F.lit(decimal), F.lit(".")).try_cast("double")
+    return safe(F.replace(column(c), F.lit(decimal), F.lit(".")), "double")
 
 
 def trace_value(c: Column | str, token: str = "Ip", value: float = 0.0) -> Column:
