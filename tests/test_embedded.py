@@ -66,12 +66,12 @@ def texts(spark, files=FILES):
 
 def lines(spark, files=FILES):
     placed = [
-        (name, i, line)
+        (name, i // 3, i, line)
         for name, text in files.items()
         for i, line in enumerate(text.replace("\r\n", "\n").split("\n"))
     ]
     random.Random(1).shuffle(placed)
-    return mark_lines(spark.createDataFrame(placed, "file string, pos int, line string"))
+    return mark_lines(spark.createDataFrame(placed, "file string, part int, pos int, line string"))
 
 
 def plain(df):

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,13 +67,19 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.startswith(base) and first != second
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    class Conf:
-        def get(self, name, default=None):
-            return "spark://somewhere" if name == "spark.master" else default
+class _Session:
+    """The two settings that decide where scratch goes."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
 
-    class Session:
-        conf = Conf()
 
+def test_only_a_local_session_may_leave_the_shared_folder_unnamed():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session())
+        shared_dir(_Session(**{"spark.master": "spark://somewhere"}))
+    local = _Session(**{"spark.master": "local[4]"})
+    assert os.path.isdir(shared_dir(local)) and shared_dir(local) == shared_dir(local)

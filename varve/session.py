@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,11 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="varve-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -38,12 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="varve-")
-    spark.conf.set(CHECKPOINT_DIR, fallback)
-    return fallback
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,6 +7,8 @@ from varve.sources.embedded import (
     file_report_from_lines,
     mark_lines,
     read_embedded_table,
+    table_bounds,
+    text_lines,
 )
 from varve.sources.files import read_records, read_strings, read_typed
 
@@ -20,4 +22,6 @@ __all__ = [
     "read_records",
     "read_strings",
     "read_typed",
+    "table_bounds",
+    "text_lines",
 ]

@@ -9,7 +9,8 @@ Two ways to the same rows:
 * ``extract_from_texts`` holds one file per row and cuts the table out with array functions: no
   shuffle. It suits the usual case of many files, each far smaller than a task's memory.
 * ``extract_from_lines`` holds one line per row with its place in the file, so a file may be of
-  any size and spread over many tasks. Only each file's two bounds are aggregated.
+  any size and spread over many tasks. Only each file's two bounds are aggregated, and joins
+  go by file and part, so that a file with a large share of all lines stays spread.
 
 ``read_embedded_table`` reads every file, choosing by its size.
 """
@@ -59,18 +60,18 @@ def _fields(line: Column) -> Column:
     return F.when(line.contains('"'), F.transform(quoted, _unquote)).otherwise(plain)
 
 
+def _places(header: Column, columns: Sequence[str]) -> Column:
+    """Per wanted column its index among the header's fields, -1 where the header lacks it."""
+    names = F.transform(F.split(header, ",", -1), _strip)
+    return F.array(*[(F.array_position(names, F.lit(c)) - 1).cast("int") for c in columns])
+
+
 def _parse(df: DataFrame, columns: Sequence[str], token: str) -> DataFrame:
-    """(file, header, line) to (file, ``columns``); a name the header lacks gives NULL."""
-    split = df.select(
-        "file",
-        F.transform(F.split("header", ",", -1), _strip).alias("_names"),
-        _fields(F.col("line")).alias("_fields"),
-    )
+    """(file, places, line) to (file, ``columns``); a field a line lacks gives NULL."""
+    split = df.select("file", "places", _fields(F.col("line")).alias("_fields"))
     values = [
-        null_token(
-            F.get("_fields", (F.array_position("_names", F.lit(c)) - 1).cast("int")), token
-        ).alias(c)
-        for c in columns
+        null_token(F.get("_fields", F.get("places", F.lit(i))), token).alias(c)
+        for i, c in enumerate(columns)
     ]
     return split.select("file", *values)
 
@@ -104,7 +105,8 @@ def extract_from_texts(
 ) -> DataFrame:
     """(file, text), one row per file, to (file, ``columns``). A file without header gives none."""
     cut = _cut(texts, header_prefix, row_pattern)
-    rows = cut.select("file", "header", F.explode("rows").alias("line"))
+    placed = cut.select("file", _places(F.col("header"), columns).alias("places"), "rows")
+    rows = placed.select("file", "places", F.explode("rows").alias("line"))
     return _parse(rows, columns, null_token)
 
 
@@ -122,60 +124,78 @@ def file_report(
 def mark_lines(
     lines: DataFrame, header_prefix: str = HEADER_PREFIX, row_pattern: str = ROW_PATTERN
 ) -> DataFrame:
-    """Add ``is_header`` and ``is_row`` to (file, pos, line)."""
+    """Add ``is_header`` and ``is_row`` to (file, part, pos, line)."""
     line = F.col("line")
     return lines.withColumns(
         {"is_header": _is_header(line, header_prefix), "is_row": _is_row(line, row_pattern)}
     )
 
 
-def _bounds(marked: DataFrame) -> DataFrame:
-    """Per file with a header: its place and text, and the place of the first line past the table."""
+def _spread(marked: DataFrame, per_file: DataFrame) -> DataFrame:
+    """A copy of each file's row for each of its parts."""
+    return marked.select("file", "part").distinct().join(per_file, "file")
+
+
+def table_bounds(marked: DataFrame) -> DataFrame:
+    """Where each file's table lies, one row per file with a header and part of it.
+
+    (file, part, header, head_pos, stop_pos): the place of the header and that of the first
+    line past the table, NULL where the table runs to the end of the file.
+    """
     heads = (
         marked.where("is_header")
         .groupBy("file")
         .agg(F.min(F.struct("pos", "line")).alias("_head"))
-        .select("file", F.col("_head.pos").alias("_head_pos"), F.col("_head.line").alias("header"))
+        .select("file", F.col("_head.pos").alias("head_pos"), F.col("_head.line").alias("header"))
     )
     # The header itself is among these lines, so a file whose table runs to its end stays.
-    outside = marked.where(F.col("is_header") | ~F.col("is_row")).select("file", "pos")
-    past = F.when(F.col("pos") > F.col("_head_pos"), F.col("pos"))
-    return (
-        outside.join(heads, "file")
+    outside = marked.where(F.col("is_header") | ~F.col("is_row")).select("file", "part", "pos")
+    past = F.when(F.col("pos") > F.col("head_pos"), F.col("pos"))
+    per_file = (
+        outside.join(_spread(outside, heads), ["file", "part"])
         .groupBy("file")
         .agg(
-            F.first("_head_pos").alias("_head_pos"),
             F.first("header").alias("header"),
-            F.min(past).alias("_stop_pos"),
+            F.first("head_pos").alias("head_pos"),
+            F.min(past).alias("stop_pos"),
         )
     )
+    return _spread(marked, per_file)
 
 
-def _table_lines(marked: DataFrame) -> DataFrame:
-    inside = (F.col("pos") > F.col("_head_pos")) & (
-        F.col("_stop_pos").isNull() | (F.col("pos") < F.col("_stop_pos"))
+def _inside(marked: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The lines of each file's table, with what ``bounds`` says of the file."""
+    inside = (F.col("pos") > F.col("head_pos")) & (
+        F.col("stop_pos").isNull() | (F.col("pos") < F.col("stop_pos"))
     )
-    rows = marked.where("is_row").select("file", "pos", "line")
-    return rows.join(_bounds(marked), "file").where(inside).select("file", "header", "line")
+    rows = marked.where("is_row").select("file", "part", "pos", "line")
+    return rows.join(bounds, ["file", "part"]).where(inside)
 
 
 def extract_from_lines(
-    marked: DataFrame, columns: Sequence[str], null_token: str = NULL_TOKEN
+    marked: DataFrame,
+    columns: Sequence[str],
+    null_token: str = NULL_TOKEN,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
-    """(file, pos, line, is_header, is_row), as from ``mark_lines``, to (file, ``columns``).
+    """(file, part, pos, line, is_header, is_row), as from ``mark_lines``, to (file, ``columns``).
 
-    ``pos`` orders the lines of a file and may be of any ordered type. It must be a stored or
-    computed value, the same each time the input is read, since the bounds and the rows are
-    read apart. No file is gathered in one task: the lines meet only their file's bounds, a
-    join that broadcasts the bounds while they are small and else splits a large file's share.
+    ``pos`` orders the lines of a file; ``part`` cuts a file into pieces of limited size. Both
+    may be of any ordered type, and both must be stored or computed values, the same each time
+    the input is read, since the bounds and the rows are read apart. ``bounds`` takes the
+    result of ``table_bounds`` where it is already stored: Spark then knows its size, and
+    while that is small sends it to the lines instead of shuffling them.
     """
-    return _parse(_table_lines(marked), columns, null_token)
+    bounds = table_bounds(marked) if bounds is None else bounds
+    # The header is read once per file and part, not once per line.
+    placed = bounds.withColumn("places", _places(F.col("header"), columns)).drop("header")
+    return _parse(_inside(marked, placed), columns, null_token)
 
 
 def file_report_from_lines(marked: DataFrame) -> DataFrame:
-    """(file, pos, line, is_header, is_row) to (file, has_header, table_rows)."""
+    """(file, part, pos, line, is_header, is_row) to (file, has_header, table_rows)."""
     headers = marked.groupBy("file").agg(F.max("is_header").alias("has_header"))
-    counts = _table_lines(marked).groupBy("file").agg(F.count(F.lit(1)).alias("table_rows"))
+    counts = _inside(marked, table_bounds(marked)).groupBy("file").agg(F.count(F.lit(1)).alias("table_rows"))
     return headers.join(counts, "file", "left").select(
         "file", "has_header", F.coalesce("table_rows", F.lit(0)).cast("long").alias("table_rows")
     )
@@ -188,30 +208,33 @@ def _whole_texts(spark: SparkSession, path: str, glob: str, limit: int) -> DataF
     )
 
 
-def _stored_lines(
-    spark: SparkSession, path: str, glob: str, limit: int, header_prefix: str, row_pattern: str
-) -> DataFrame:
-    """The lines of the files above ``limit``, with their places, as a table in shared scratch.
+def text_lines(spark: SparkSession, path: str, glob: str, above: int = -1) -> DataFrame:
+    """(file, part, pos, line) of the files larger than ``above`` bytes.
 
     One task reads a split of a file from front to back, so the split's offset and the running
-    id within the task order the lines of the file. Another read may cut the splits elsewhere;
-    storing the places once makes every later step see the same ones.
+    id within the task order the lines of the file; the split is the part. Another read may
+    cut the splits elsewhere, so store the lines before anything compares places.
     """
-    lines = (
+    split = F.col("_metadata.file_block_start")
+    return (
         spark.read.option("pathGlobFilter", glob)
         .text(path)
-        .where(F.col("_metadata.file_size") > limit)
+        .where(F.col("_metadata.file_size") > above)
         .select(
             F.col("_metadata.file_path").alias("file"),
+            split.alias("part"),
             F.struct(
-                F.col("_metadata.file_block_start").alias("split"),
-                F.monotonically_increasing_id().alias("line_no"),
+                split.alias("split"), F.monotonically_increasing_id().alias("line_no")
             ).alias("pos"),
             F.col("value").alias("line"),
         )
     )
-    target = scratch_path(spark, "lines")
-    mark_lines(lines, header_prefix, row_pattern).write.parquet(target)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    target = scratch_path(spark, name)
+    df.write.parquet(target)
     return spark.read.parquet(target)
 
 
@@ -228,14 +251,17 @@ def read_embedded_table(
 ) -> DataFrame:
     """The embedded table of every matching file under ``path``.
 
-    Files up to ``whole_file_limit`` bytes are read whole, one row each; larger ones by line.
-    ``keep_file`` adds the path each row came from.
+    Files up to ``whole_file_limit`` bytes are read whole, one row each. The lines of larger
+    ones are first stored in the shared folder; it is the caller's to clear, once the result
+    has been used. ``keep_file`` adds the path each row came from.
     """
     require_files(spark, path, glob)
     texts = _whole_texts(spark, path, glob, whole_file_limit)
     table = extract_from_texts(texts, columns, header_prefix, row_pattern, null_token)
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     if not listing.where(F.col("length") > whole_file_limit).select("path").isEmpty():
-        lines = _stored_lines(spark, path, glob, whole_file_limit, header_prefix, row_pattern)
-        table = table.unionByName(extract_from_lines(lines, columns, null_token))
+        lines = text_lines(spark, path, glob, above=whole_file_limit)
+        marked = _stored(mark_lines(lines, header_prefix, row_pattern), "lines")
+        bounds = _stored(table_bounds(marked), "bounds")
+        table = table.unionByName(extract_from_lines(marked, columns, null_token, bounds))
     return table if keep_file else table.drop("file")

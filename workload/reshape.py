@@ -16,7 +16,8 @@ _FIELDS = ["Year", "event_id", "kind", "value", "props"]
 def _user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of one file per user: a title, a header, the user's events, then a second table.
 
-    The place of a line is (section, event), a value of the row itself.
+    The place of a line is (section, event), a value of the row itself. A part of a file is a
+    range of event numbers, so it holds a limited number of lines however busy the user is.
     """
     events = table(spark, sf_dir, "events")
     user = F.col("user_id").cast("string").alias("file")
@@ -25,6 +26,7 @@ def _user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.concat_ws(",", F.year("ts"), "event_id", "event_type", value, props)
     rows = events.select(
         user,
+        F.expr("event_id div 100000").alias("part"),
         F.struct(F.lit(2).alias("section"), F.col("event_id").alias("event")).alias("pos"),
         record.alias("line"),
     )
@@ -41,11 +43,12 @@ def _user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     framing = (
         events.select(user)
         .distinct()
-        .select("file", F.explode(sections).alias("part"))
+        .select("file", F.explode(sections).alias("frame"))
         .select(
             "file",
-            F.struct("part.section", F.lit(0).cast("bigint").alias("event")).alias("pos"),
-            "part.line",
+            F.lit(-1).cast("bigint").alias("part"),
+            F.struct("frame.section", F.lit(0).cast("bigint").alias("event")).alias("pos"),
+            "frame.line",
         )
     )
     return mark_lines(rows.unionByName(framing))
