@@ -1,13 +1,13 @@
 """A table embedded in a text file: title lines above it, other tables below.
 
 The table begins after the first line that starts with ``header_prefix`` and goes on while the
-first field of a line matches ``row_pattern``. Columns are found by the names in each file's own
-header, so files may order them differently. All values are text.
+first field of a line, blanks aside, is all matched by ``first_field``. Columns are found by the
+names in each file's own header, so files may order them differently. All values are text.
 
 Two ways to the same rows:
 
-* ``extract_from_texts`` holds one file per row and cuts the table out with array functions: no
-  shuffle. It suits the usual case of many files, each far smaller than a task's memory.
+* ``extract_from_texts`` holds one file per row and cuts the table out of its text: no shuffle.
+  It suits the usual case of many files, each far smaller than a task's memory.
 * ``extract_from_lines`` holds one line per row with its place in the file, so a file may be of
   any size and spread over many tasks. Only each file's two bounds are aggregated, and joins
   go by file and part, so that a file with a large share of all lines stays spread.
@@ -17,6 +17,7 @@ Two ways to the same rows:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,12 +28,12 @@ from varve.session import scratch_path
 from varve.sources.files import require_files
 
 HEADER_PREFIX = "Year"
-ROW_PATTERN = "^[0-9]{4}$"
+FIRST_FIELD = "[0-9]{4}"
 NULL_TOKEN = "***"
-WHOLE_FILE_LIMIT = 64 * 1024 * 1024
+WHOLE_FILE_LIMIT = 16 * 1024 * 1024
 
-_LINE_END = "\r\n|\r|\n"
 _BLANKS = " \t\r\f\x0b"
+_BLANK = r"[ \t\r\f\x0b]*"
 _QUOTED_FIELDS = r',("(?:[^"]|"")*"|[^,]*)'
 
 
@@ -40,12 +41,16 @@ def _strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_BLANKS))
 
 
+def _row_start(first_field: str) -> str:
+    return rf"{_BLANK}(?:{first_field}){_BLANK}(?:,|\n|\z)"
+
+
 def _is_header(line: Column, prefix: str) -> Column:
     return F.startswith(_strip(line), F.lit(prefix))
 
 
-def _is_row(line: Column, pattern: str) -> Column:
-    return _strip(F.substring_index(line, ",", 1)).rlike(pattern)
+def _is_row(line: Column, first_field: str) -> Column:
+    return line.rlike("^" + _row_start(first_field))
 
 
 def _unquote(field: Column) -> Column:
@@ -76,58 +81,57 @@ def _parse(df: DataFrame, columns: Sequence[str], token: str) -> DataFrame:
     return split.select("file", *values)
 
 
-def _cut(texts: DataFrame, header_prefix: str, row_pattern: str) -> DataFrame:
-    """(file, text) to (file, header or NULL, array of the table's lines)."""
-    lines = texts.select("file", F.split("text", _LINE_END, -1).alias("_lines"))
-    start = F.array_position(
-        F.transform("_lines", lambda x: _is_header(x, header_prefix)), F.lit(True)
-    )
-    below = lines.withColumn("_start", start.cast("int")).select(
-        "file",
-        F.get("_lines", F.col("_start") - 1).alias("header"),
-        F.when(
-            F.col("_start") > 0, F.slice("_lines", F.col("_start") + 1, F.size("_lines"))
-        ).alias("_below"),
-    )
-    stop = F.array_position(
-        F.transform("_below", lambda x: _is_row(x, row_pattern)), F.lit(False)
-    ).cast("int")
-    length = F.when(stop > 0, stop - 1).otherwise(F.size("_below"))
-    return below.select("file", "header", F.slice("_below", F.lit(1), length).alias("rows"))
+def _cut(texts: DataFrame, header_prefix: str, first_field: str) -> DataFrame:
+    """(file, text) to (file, lines): the header and the table's lines, NULL without a header.
+
+    Both cuts split once at the first match, so the text is searched no further than needed.
+    """
+    text = F.col("text")
+    unix = F.when(text.contains("\r"), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
+    to_header = rf"\n(?={_BLANK}{re.escape(header_prefix)})"
+    past_table = rf"\n(?!{_row_start(first_field)})"
+    from_header = F.get(F.split(F.concat(F.lit("\n"), unix), to_header, 2), F.lit(1))
+    table = F.get(F.split(from_header, past_table, 2), F.lit(0))
+    return texts.select("file", F.split(table, "\n", -1).alias("lines"))
 
 
 def extract_from_texts(
     texts: DataFrame,
     columns: Sequence[str],
     header_prefix: str = HEADER_PREFIX,
-    row_pattern: str = ROW_PATTERN,
+    first_field: str = FIRST_FIELD,
     null_token: str = NULL_TOKEN,
 ) -> DataFrame:
     """(file, text), one row per file, to (file, ``columns``). A file without header gives none."""
-    cut = _cut(texts, header_prefix, row_pattern)
-    placed = cut.select("file", _places(F.col("header"), columns).alias("places"), "rows")
+    cut = _cut(texts, header_prefix, first_field)
+    header = F.get("lines", F.lit(0))
+    placed = cut.select(
+        "file",
+        _places(header, columns).alias("places"),
+        F.slice("lines", F.lit(2), F.array_size("lines")).alias("rows"),
+    )
     rows = placed.select("file", "places", F.explode("rows").alias("line"))
     return _parse(rows, columns, null_token)
 
 
 def file_report(
-    texts: DataFrame, header_prefix: str = HEADER_PREFIX, row_pattern: str = ROW_PATTERN
+    texts: DataFrame, header_prefix: str = HEADER_PREFIX, first_field: str = FIRST_FIELD
 ) -> DataFrame:
     """(file, text) to (file, has_header, table_rows)."""
-    return _cut(texts, header_prefix, row_pattern).select(
+    return _cut(texts, header_prefix, first_field).select(
         "file",
-        F.col("header").isNotNull().alias("has_header"),
-        F.coalesce(F.size("rows"), F.lit(0)).cast("long").alias("table_rows"),
+        F.col("lines").isNotNull().alias("has_header"),
+        F.coalesce(F.array_size("lines") - 1, F.lit(0)).cast("long").alias("table_rows"),
     )
 
 
 def mark_lines(
-    lines: DataFrame, header_prefix: str = HEADER_PREFIX, row_pattern: str = ROW_PATTERN
+    lines: DataFrame, header_prefix: str = HEADER_PREFIX, first_field: str = FIRST_FIELD
 ) -> DataFrame:
     """Add ``is_header`` and ``is_row`` to (file, part, pos, line)."""
     line = F.col("line")
     return lines.withColumns(
-        {"is_header": _is_header(line, header_prefix), "is_row": _is_row(line, row_pattern)}
+        {"is_header": _is_header(line, header_prefix), "is_row": _is_row(line, first_field)}
     )
 
 
@@ -243,7 +247,7 @@ def read_embedded_table(
     path: str,
     columns: Sequence[str],
     header_prefix: str = HEADER_PREFIX,
-    row_pattern: str = ROW_PATTERN,
+    first_field: str = FIRST_FIELD,
     null_token: str = NULL_TOKEN,
     glob: str = "*.csv",
     whole_file_limit: int = WHOLE_FILE_LIMIT,
@@ -257,11 +261,11 @@ def read_embedded_table(
     """
     require_files(spark, path, glob)
     texts = _whole_texts(spark, path, glob, whole_file_limit)
-    table = extract_from_texts(texts, columns, header_prefix, row_pattern, null_token)
+    table = extract_from_texts(texts, columns, header_prefix, first_field, null_token)
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     if not listing.where(F.col("length") > whole_file_limit).select("path").isEmpty():
         lines = text_lines(spark, path, glob, above=whole_file_limit)
-        marked = _stored(mark_lines(lines, header_prefix, row_pattern), "lines")
+        marked = _stored(mark_lines(lines, header_prefix, first_field), "lines")
         bounds = _stored(table_bounds(marked), "bounds")
         table = table.unionByName(extract_from_lines(marked, columns, null_token, bounds))
     return table if keep_file else table.drop("file")

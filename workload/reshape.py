@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.functions import day_bound, mean_where, round_half_up
 from varve.operators import split_intervals, to_long
-from varve.sources import extract_from_lines, file_report_from_lines, mark_lines
+from varve.sources import (
+    extract_from_lines,
+    extract_from_texts,
+    file_report,
+    file_report_from_lines,
+    mark_lines,
+)
 from workload.registry import query, table
 
 _FIELDS = ["Year", "event_id", "kind", "value", "props"]
@@ -72,6 +78,62 @@ def embedded_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_report_from_lines(_user_files(spark, sf_dir))
 
 
+def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of one small file per event: two rows of its table, then another table.
+
+    Type signup lacks the first header, so the other table is found instead; type view ends its
+    lines the other way; type error names its columns in another order.
+    """
+    kind = F.col("event_type")
+    quoted = F.concat(F.lit('"'), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"'))
+    value = F.col("value").cast("string")
+    header = (
+        F.when(kind == "signup", "no header here")
+        .when(kind == "error", " Year,props,value")
+        .otherwise("Year,value,props")
+    )
+
+    def record(first: Column) -> Column:
+        return F.when(kind == "error", F.concat_ws(",", first, quoted, value)).otherwise(
+            F.concat_ws(",", first, value, quoted)
+        )
+
+    year = F.year("ts").cast("string")
+    lines = F.array(
+        F.lit("One event"), header, record(year), record(F.lit("1900")), F.lit(""),
+        F.lit("Year,value"), F.lit("1999,9"),
+    )
+    ending = F.when(kind == "view", "\r\n").otherwise("\n")
+    text = F.array_join(F.transform(lines, lambda x: F.concat(x, ending)), "")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("file"), text.alias("text")
+    )
+
+
+_TEXT_ROWS_SQL = """
+SELECT CAST(event_id AS VARCHAR) AS file, "Year", CAST(value AS VARCHAR) AS value, props
+FROM events, (SELECT unnest([0, 1]) AS place),
+     LATERAL (SELECT CASE place WHEN 0 THEN CAST(year(ts) AS VARCHAR) ELSE '1900' END AS "Year")
+WHERE event_type <> 'signup'
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), '1999', '9', NULL FROM events WHERE event_type = 'signup'
+"""
+
+
+@query(_TEXT_ROWS_SQL)
+def embedded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_from_texts(_event_texts(spark, sf_dir), ["Year", "value", "props"])
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS file, true AS has_header,
+       CAST(CASE WHEN event_type = 'signup' THEN 1 ELSE 2 END AS BIGINT) AS table_rows
+FROM events
+""")
+def embedded_texts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_report(_event_texts(spark, sf_dir))
+
+
 @query("""
 WITH wide AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS anio, l_returnflag,
