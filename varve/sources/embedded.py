@@ -156,7 +156,7 @@ def table_bounds(marked: DataFrame) -> DataFrame:
     outside = marked.where(F.col("is_header") | ~F.col("is_row")).select("file", "part", "pos")
     past = F.when(F.col("pos") > F.col("head_pos"), F.col("pos"))
     per_file = (
-        outside.join(_spread(outside, heads), ["file", "part"])
+        outside.join(_spread(marked, heads), ["file", "part"])
         .groupBy("file")
         .agg(
             F.first("header").alias("header"),
