@@ -16,8 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The JVM does not compile larger methods; a wide projection is then split into small ones.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
