@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
+
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +42,35 @@ def ascii_lower(text: Column) -> Column:
 def sized_broadcast(df: DataFrame, bytes_: int | None, limit: int) -> DataFrame:
     """``df`` with a broadcast hint if its measured size is within ``limit``, else as it is."""
     return F.broadcast(df) if (bytes_ or 0) <= limit else df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per session, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_llm_package", None):
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / "llm_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted((root / "varve").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    context._llm_package = str(archive)
+
+
+def broadcast_file(spark: SparkSession, path: str) -> Broadcast:
+    """The bytes of a vocabulary file (a few MB), read once by the driver."""
+    with open(path, "rb") as file:
+        return spark.sparkContext.broadcast(file.read())
+
+
+def portions_of(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` with about ``most`` characters, one text at least."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield first, i
+            first, size = i, 0
+        size += len(text)
+    if texts:
+        yield first, len(texts)

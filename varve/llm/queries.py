@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from varve.llm import content_sort, positional_index, ring, url_rules
+from varve.llm import (
+    content_sort,
+    part_enum,
+    positional_index,
+    ring,
+    suffix_pieces,
+    token_transducer,
+    url_rules,
+)
 from varve.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -66,12 +75,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.contamination(docs, items).drop("n_near")
 
 
+@query()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_transducer.count_tokens(table(spark, sf_dir, "documents"), path)
+
+
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_enum.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     return url_rules.judge_urls(pages, labels, URL_RULES)
 
 
+@query()
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return suffix_pieces.round_trip(table(spark, sf_dir, "documents"), path)
+
+
 @query(r"""
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
     count(*) OVER (PARTITION BY norm) AS group_size,
