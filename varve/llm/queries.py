@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from varve.llm import (
     content_sort,
+    gear_chunks,
     part_enum,
     positional_index,
     ring,
     suffix_pieces,
+    tag_paths,
     token_transducer,
+    toxicity,
     url_rules,
 )
 from varve.llm.common import table
@@ -75,12 +78,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.contamination(docs, items).drop("n_near")
 
 
+@query()
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_transducer.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+@query()
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gear_chunks.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query()
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_enum.jaccard_components(table(spark, sf_dir, "documents"))
