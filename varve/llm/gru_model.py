@@ -46,12 +46,12 @@ def table_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         value[: len(flat) - n + 1] = value[: len(flat) - n + 1] * np.uint64(257) + flat[n - 1 :]
         if n in GRAMS:
             at = np.flatnonzero(left >= n)
-            rows.append((mix(value[at]) % np.uint64(GRAM_ROWS)).astype(np.int64))
+            rows.append((mix(value[at]) % np.uint64(GRAM_ROWS)).astype(np.int32))
             places.append(at)
     places, rows = np.concatenate(places), np.concatenate(rows)
     rows = rows[np.argsort(places, kind="stable")]
     counts = sum(np.maximum(0, sizes - n + 1) for n in GRAMS)
-    return word_rows, rows, counts
+    return word_rows.astype(np.int32), rows, counts
 
 
 def _sigmoid(x):
@@ -87,13 +87,16 @@ class Model:
             self.table = room
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            p, x = self.parameters, word_vectors(self.parameters, table_rows(part))
-            gates = np.concatenate([x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]], 1)
-            self.table[used + at : used + at + len(part)] = gates
+            self.table[used + at : used + at + len(part)] = self.gates(table_rows(part))
         self.memo.update(zip(new, range(used, used + len(new)), strict=True))
         flat = map(self.memo.__getitem__, chain.from_iterable(cut))
         return np.fromiter(flat, np.int64, sum(map(len, cut)))
 
+    def gates(self, table) -> np.ndarray:
+        """The gates' inputs, both directions side by side, of the words of ``table``."""
+        p, x = self.parameters, word_vectors(self.parameters, table)
+        return np.concatenate([x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]], 1)
+
     def forget(self) -> None:
         """Empties the table, as is due when the parameters change."""
         self.memo.clear()
@@ -268,26 +271,35 @@ MEMO_LIMIT = 400_000
 SCORE_BATCH = 2048
 
 
-def score_texts(model: Model, texts: list[str]) -> np.ndarray:
-    """The highest window logit of every text; minus infinity without words."""
-    cut = [words_of(t) for t in texts]
-    best = np.full(len(texts), -np.inf)
-    flat = model.rows(cut)
-    if not len(flat):
-        return best
-    projected = model.table
-    sizes = np.array([len(ws) for ws in cut], np.int64)
+def best_windows(p, projected, flat, sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word in it, logit) of all windows of texts given as rows of ``projected``.
+
+    ``flat`` has the rows of all texts' words end to end, ``sizes`` each text's number of words.
+    """
     firsts = np.cumsum(sizes) - sizes
     per_text = [windows_of(n) for n in sizes.tolist()]
-    counts = np.array([len(s) for s in per_text])
-    owner = np.repeat(np.arange(len(cut)), counts)
-    starts = np.concatenate(per_text) + firsts[owner]
+    counts = np.array([len(s) for s in per_text], np.int64)
+    owner = np.repeat(np.arange(len(sizes)), counts)
+    within = np.concatenate([np.zeros(0, np.int64), *per_text])
+    starts = within + firsts[owner]
     ends = np.minimum(starts + WINDOW, (firsts + sizes)[owner])
+    logits = np.zeros(len(starts), np.float32)
     order = np.argsort(ends - starts, kind="stable")  # short windows together
     for at in range(0, len(order), SCORE_BATCH):
         part = order[at : at + SCORE_BATCH]
         width = int((ends[part] - starts[part]).max())
         index, mask = _layout(starts[part], ends[part], width)
-        logits = window_logits(model.parameters, projected, flat[index], mask)
-        np.maximum.at(best, owner[part], logits)
+        logits[part] = window_logits(p, projected, flat[index], mask)
+    return owner, within, logits
+
+
+def score_texts(model: Model, texts: list[str]) -> np.ndarray:
+    """The highest window logit of every text; minus infinity without words."""
+    cut = [words_of(t) for t in texts]
+    best = np.full(len(texts), -np.inf)
+    flat = model.rows(cut)
+    sizes = np.array([len(ws) for ws in cut], np.int64)
+    if len(flat):
+        owner, _, logits = best_windows(model.parameters, model.table, flat, sizes)
+        np.maximum.at(best, owner, logits)
     return best

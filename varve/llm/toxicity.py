@@ -8,7 +8,7 @@ most mistaken ones, and training goes on with these.
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,48 +21,50 @@ from varve.llm.common import portions_of, ship_package
 
 # The training sample: this many texts of each label at most, none longer than TRAIN_CHARS.
 TRAIN_TOXIC = 800
-TRAIN_OTHER = 4000
-TRAIN_CHARS = 12_000
+TRAIN_OTHER = 3200
+TRAIN_CHARS = 6_000
 THRESHOLD = 0.7
 ROUNDS = 4
 STEPS = 100
 BATCH = 72
 CALIBRATION = 4  # every fourth text of the sample only sets the threshold, if there are enough
 ENOUGH_TOXIC = 120
+FEATURES = 1 << 20
 RATE = 0.02
 BATCH_CHARS = 2_000_000
 
 
-def _features(words):
-    return {w[:n] for w in words for n in (4, 5, 6) if len(w) > n} | {f"{w}>" for w in words}
+def _features(word):
+    """Numbers of a word and of its beginnings, told apart by the mark at the word's end."""
+    names = [f"{word}>", *(word[:n] for n in (4, 5, 6) if len(word) > n)]
+    return [zlib.crc32(f.encode()) % FEATURES for f in names]
 
 
-def _seed_words(cut, labels):
-    """Words and beginnings that several toxic texts hold and hardly any other text does."""
-    toxic, other = Counter(), Counter()
-    for words, label in zip(cut, labels, strict=True):
-        (toxic if label else other).update(_features(set(words)))
-    n, m = max(1, int(sum(labels))), max(1, int(len(labels) - sum(labels)))
-    odds = {
-        f: np.log((c + 0.2) / n) - np.log((other[f] + 0.2) / m) for f, c in toxic.items() if c >= 3
-    }
-    # Two texts are enough for a feature if no other text has it, when labels are few.
-    least = 2.0 if n >= 100 else 1.5
-    return {f for f, o in odds.items() if o >= least}
+def _seeds(vocabulary, numbered, labels):
+    """Whether each word holds a feature that several toxic texts and hardly any others hold."""
+    of_word = np.full((len(vocabulary), 4), -1, np.int32)
+    for row, word in zip(of_word, vocabulary, strict=True):
+        found = _features(word)
+        row[: len(found)] = found
+    seen = np.zeros((2, FEATURES + 1), np.int32)  # the last place is for missing features
+    for words, label in zip(numbered, labels.tolist(), strict=True):
+        seen[label][np.unique(of_word[np.unique(words)])] += 1
+    n, m = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
+    odds = np.log((seen[1] + 0.2) / n) - np.log((seen[0] + 0.2) / m)
+    clear = (seen[1] >= 3) & (odds >= (2.0 if n >= ENOUGH_TOXIC else 1.5))
+    clear[-1] = False
+    return clear[of_word].any(1)
 
 
-def _examples(cut, labels, seeds, rng):
+def _examples(numbered, labels, seeds, rng):
     """(text, first word, label) windows to start from."""
     found = []
-    for i, (words, label) in enumerate(zip(cut, labels, strict=True)):
-        if not words:
-            continue
+    for i, (words, label) in enumerate(zip(numbered, labels.tolist(), strict=True)):
         if label:
-            hits = [k for k, w in enumerate(words) if not seeds.isdisjoint(_features([w]))]
-            for k in hits[:40]:
-                first = k - rng.integers(0, net.WINDOW)
+            for k in np.flatnonzero(seeds[words])[:40].tolist():
+                first = k - int(rng.integers(0, net.WINDOW))
                 found.append((i, max(0, min(first, len(words) - net.WINDOW)), 1))
-        else:
+        elif len(words):
             starts = net.windows_of(len(words))
             for first in rng.choice(starts, min(len(starts), 24), replace=False):
                 found.append((i, int(first), 0))
@@ -73,45 +75,67 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> net.Model:
     """A model from labelled texts; without both labels, one that scores every text 0."""
     p = net.new_parameters(seed)
     model = net.Model(p)
-    cut = [net.words_of(t) for t in texts]
-    labels = np.array(labels)
+    labels = np.array(labels, np.int64)
     if not labels.any() or labels.all():
         model.empty = True
         return model
+    numbers: dict[str, int] = {}
+    numbered = [
+        np.array([numbers.setdefault(w, len(numbers)) for w in net.words_of(t)], np.int32) for t in texts
+    ]
+    vocabulary = list(numbers)
     rng = np.random.default_rng(seed)
-    spared = np.arange(len(cut)) % CALIBRATION == 0
+    spared = np.arange(len(texts)) % CALIBRATION == 0
     if labels.sum() < ENOUGH_TOXIC:
         spared[:] = False
     learned = np.flatnonzero(~spared)
-    seeds = _seed_words([cut[i] for i in learned], labels[learned])
-    examples = [e for e in _examples(cut, labels, seeds, rng) if not spared[e[0]]]
+    seeds = _seeds(vocabulary, [numbered[i] for i in learned], labels[learned])
+    examples = [e for e in _examples(numbered, labels, seeds, rng) if not spared[e[0]]]
     adam = net.Adam(p, RATE)
-    numbers = {w: k for k, w in enumerate(dict.fromkeys(w for words in cut for w in words))}
-    numbered = [np.array([numbers[w] for w in words], np.int64) for words in cut]
-    word_rows, flat, sizes = net.table_rows(list(numbers))
+    rows = [net.table_rows(vocabulary[k : k + 10_000]) for k in range(0, len(vocabulary), 10_000)]
+    word_rows, flat, sizes = (np.concatenate(r) for r in zip(*rows, strict=True))
     tables = (word_rows, flat, sizes, np.cumsum(sizes) - sizes)
+    del rows
     others, toxic = learned[labels[learned] == 0], learned[labels[learned] == 1]
+
+    def scores(chosen):
+        """(text, first word, logit) arrays of all windows of the chosen texts."""
+        parts = [range(k, min(k + 20_000, len(vocabulary))) for k in range(0, len(vocabulary), 20_000)]
+        gates = np.concatenate([model.gates(_part(tables, np.array(part))) for part in parts])
+        some = [numbered[i] for i in chosen]
+        laid = np.concatenate([np.zeros(0, np.int32), *some])
+        owner, first, logits = net.best_windows(p, gates, laid, np.array([len(s) for s in some], np.int64))
+        return chosen[owner], first, logits
+
     for turn in range(ROUNDS):
         positive = [e for e in examples if e[2]]
         negative = [e for e in examples if not e[2]]
         if not positive or not negative:
             model.empty = not positive
-            break
+            return model
         for step in range(STEPS):
             adam.rate = RATE * (1 - 0.9 * (turn * STEPS + step) / (ROUNDS * STEPS))
             some = [positive[k] for k in rng.integers(0, len(positive), BATCH // 3)]
             some += [negative[k] for k in rng.integers(0, len(negative), BATCH - len(some))]
             _step(adam, numbered, tables, some)
-        model.forget()
         if turn < ROUNDS - 1:
-            examples = examples + _mined(model, cut, others, toxic)
+            examples = examples + _mined(*scores(others), 4, 0) + _mined(*scores(toxic), 1, 1)
     judged = np.flatnonzero(spared) if spared.any() else learned
-    best = net.score_texts(model, [texts[i] for i in judged])
-    model.forget()
-    _calibrate(model, best, labels[judged])
+    owner, _, logits = scores(judged)
+    best = np.full(len(texts), -20.0)
+    np.maximum.at(best, owner, logits)
+    _calibrate(model, best[judged], labels[judged])
     return model
 
 
+def _part(tables, chosen):
+    """The table rows of some words of the vocabulary."""
+    word_rows, flat, sizes, starts = tables
+    many = sizes[chosen]
+    within = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    return word_rows[chosen], flat[np.repeat(starts[chosen], many) + within], many
+
+
 def _step(adam, numbered, tables, some):
     """One step on the windows ``some``; ``numbered`` has the texts' words as numbers."""
     pieces = [numbered[i][first : first + net.WINDOW] for i, first, _ in some]
@@ -122,43 +146,18 @@ def _step(adam, numbered, tables, some):
         index[len(piece) :, b] = piece[-1]
         mask[: len(piece), b] = 1
     distinct, index = np.unique(index, return_inverse=True)
-    word_rows, flat, sizes, starts = tables
-    many = sizes[distinct]
-    within = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    table = (word_rows[distinct], flat[np.repeat(starts[distinct], many) + within], many)
     labels = np.array([label for _, _, label in some], np.float32)
+    table = _part(tables, distinct)
     adam.step(*net.gradients(adam.p, table, index.reshape(mask.shape), mask, labels))
 
 
-def _window_scores(model, cut, texts):
-    """(text, first word, logit) of all windows of some texts."""
-    found = []
-    for i in texts:
-        words = cut[i]
-        starts = net.windows_of(len(words))
-        if len(starts):
-            pieces = [" ".join(words[s : s + net.WINDOW]) for s in starts.tolist()]
-            found.append((i, starts, pieces))
-    flat = [piece for _, _, pieces in found for piece in pieces]
-    logits = net.score_texts(model, flat)
-    at = 0
-    for i, starts, pieces in found:
-        yield i, starts, logits[at : at + len(pieces)]
-        at += len(pieces)
-
-
-def _mined(model, cut, others, toxic):
-    """Other texts' windows that look toxic, and the toxic texts' best windows."""
-    found = []
-    for i, starts, logits in _window_scores(model, cut, others):
-        for k in np.argsort(-logits)[:4]:
-            if logits[k] > -3:
-                found += [(i, int(starts[k]), 0)] * 3
-    for i, starts, logits in _window_scores(model, cut, toxic):
-        k = int(np.argmax(logits))
-        if logits[k] > 0:
-            found += [(i, int(starts[k]), 1)] * 2
-    return found
+def _mined(owner, first, logits, most, label):
+    """Each text's ``most`` highest windows, if they look toxic, as examples of ``label``."""
+    order = np.lexsort((-logits, owner))
+    rank = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
+    chosen = order[(rank < most) & (logits[order] > (0 if label else -3))]
+    weight = 2 if label else 3
+    return [(int(i), int(k), label) for i, k in zip(owner[chosen], first[chosen], strict=True)] * weight
 
 
 def _calibrate(model, best, labels):
