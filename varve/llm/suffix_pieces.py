@@ -23,8 +23,16 @@ from varve.llm.bpe_paths import Pairs
 from varve.llm.common import broadcast_file, portions_of, ship_package
 
 SPACE = "▁"
-WORD_LIMIT = 300_000
-BATCH_CHARS = 4_000_000
+WORD_LIMIT = 400_000
+BATCH_CHARS = 2_000_000
+WORDS_AT_ONCE = 20_000
+PAIR_LIMIT = 2_000_000
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all entries of runs that begin at ``starts``."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class Pieces:
@@ -71,7 +79,16 @@ class Pieces:
         self.high = above.view(width).ravel()
         self.lengths = np.array([len(p) for p in self.pieces])
         self.by_row = np.array([self.ids[p] for p in self.pieces])
-        self.known: dict[str, list[int]] = {}
+        self.rows = {p: i for i, p in enumerate(self.pieces)}
+        self.pair_keys, self.pair_fits = np.zeros(0, np.int64), np.zeros(0, bool)
+        # What the ids stand for in a text, end to end.
+        plain = [b.replace(SPACE.encode(), b" ") for b in self.spelling]
+        self.plain = np.frombuffer(b"".join(plain), np.uint8)
+        self.plain_sizes = np.array([len(b) for b in plain], np.int64)
+        self.plain_starts = np.cumsum(self.plain_sizes) - self.plain_sizes
+        self.known: dict[str, int] = {}
+        self.ends = np.zeros(1, np.int64)  # of the known words' ids in ``coded``
+        self.coded = np.zeros(0, np.int32)
 
     # ---- matching
 
@@ -126,51 +143,94 @@ class Pieces:
             holds = self._hold(before, r)
             b, e, r = b[holds], e[holds], r[holds]
             last[e], came[e] = r, b
-        ids = self.by_row
-        result = []
-        for start, length in zip(starts, lengths, strict=True):
+        ids, came, result = self.by_row[last].tolist(), came.tolist(), []
+        for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
             at, path = start + length, []
             while at > start:
-                path.append(int(ids[last[at]]))
+                path.append(ids[at])
                 at = came[at]
             result.append(path[::-1])
+        self._remember_pairs()
         return result
 
     def _hold(self, before: np.ndarray, row: np.ndarray) -> np.ndarray:
         """For each edge, whether its piece may follow piece ``before`` (-1: a word's start)."""
         base = len(self.pieces) + 1
         pairs, back = np.unique((before + 1) * base + row, return_inverse=True)
-        pieces, fit = self.pieces, np.empty(len(pairs), bool)
-        for i, pair in enumerate(pairs.tolist()):
-            a, b = divmod(pair, base)
+        fit = np.zeros(len(pairs), bool)
+        if len(self.pair_keys):
+            at = np.minimum(np.searchsorted(self.pair_keys, pairs), len(self.pair_keys) - 1)
+            met = self.pair_keys[at] == pairs
+            fit[met] = self.pair_fits[at[met]]
+        else:
+            met = np.zeros(len(pairs), bool)
+        pieces = self.pieces
+        for i in np.flatnonzero(~met).tolist():
+            a, b = divmod(int(pairs[i]), base)
             fit[i] = self.pairs.fit(pieces[a - 1], pieces[b]) if a else self.pairs.fit(pieces[b])
         return fit[back]
 
+    def _remember_pairs(self) -> None:
+        """Files the pairs judged since, for lookups of many at once; their number is bounded."""
+        base = len(self.pieces) + 1
+        if len(self.pair_keys) > PAIR_LIMIT:
+            self.pair_keys, self.pair_fits = self.pair_keys[:0], self.pair_fits[:0]
+        rows = self.rows
+        fresh = {
+            (rows[t[0]] + 1) * base + rows[t[1]]: fits for t, fits in self.pairs.known.items()
+        }
+        self.pairs.known.clear()
+        keys = np.r_[self.pair_keys, np.fromiter(fresh.keys(), np.int64, len(fresh))]
+        fits = np.r_[self.pair_fits, np.fromiter(fresh.values(), bool, len(fresh))]
+        self.pair_keys, first = np.unique(keys, return_index=True)
+        self.pair_fits = fits[first]
+
     # ---- texts
 
     def learn(self, words: set[str]) -> None:
         """Encodes the words not met before."""
         if len(self.known) + len(words) > WORD_LIMIT:
-            self.known.clear()
-        new, known_letters = [], {}
+            # The words of this portion stay, so the frequent ones are not encoded again.
+            kept = [w for w in words if w in self.known]
+            ids, sizes = self._ids_of(kept)
+            self.known = dict(zip(kept, range(len(kept)), strict=True))
+            self.coded, self.ends = ids, np.r_[0, np.cumsum(sizes)]
+        plain, mixed = [], {}
         for word in words.difference(self.known):
-            if not word:
-                self.known[word] = []
-            elif all(c in self.single for c in word):
-                new.append(word)
+            if self.single.issuperset(word):
+                plain.append(word)
             else:
-                known_letters[word] = self._runs(word)
-        runs = {r for parts in known_letters.values() for r in parts if r[0] in self.single}
-        plain = list(dict.fromkeys([*new, *runs.difference(self.known)]))
-        self.known.update(zip(plain, self.encode_words(plain), strict=True))
-        for word, parts in known_letters.items():
-            self.known[word] = list(
-                chain.from_iterable(
-                    self.known[p] if p[0] in self.single else [self.bytes[b] for b in p.encode()]
-                    for p in parts
-                )
+                mixed[word] = self._runs(word)
+        runs = {r for parts in mixed.values() for r in parts if r[0] in self.single}
+        plain += runs.difference(self.known).difference(plain)
+        for at in range(0, len(plain), WORDS_AT_ONCE):
+            part = [w for w in plain[at : at + WORDS_AT_ONCE] if w]
+            self._add(part, self.encode_words(part))
+        if "" in words and "" not in self.known:
+            self._add([""], [[]])
+        if mixed:
+            ids = {r: self._ids_of([r])[0].tolist() for r in runs}
+            self._add(
+                list(mixed),
+                [
+                    [i for p in parts for i in (ids.get(p) or [self.bytes[b] for b in p.encode()])]
+                    for parts in mixed.values()
+                ],
             )
 
+    def _add(self, words: list[str], coded: list[list[int]]) -> None:
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        sizes = np.array([len(c) for c in coded], np.int64)
+        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum()))
+        self.coded = np.r_[self.coded, flat]
+        self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(sizes)]
+
+    def _ids_of(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words end to end, and how many each has."""
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64)
+        first, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        return self.coded[_spread(first, sizes)], sizes
+
     def _runs(self, word: str) -> list[str]:
         """The word cut into runs of letters with and without a piece."""
         cut: list[str] = []
@@ -189,11 +249,29 @@ class Pieces:
             return self.word.findall(SPACE + text.replace(" ", SPACE))
         return (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and how many each has."""
         words = [self.words(t) for t in texts]
-        self.learn({w for ws in words for w in ws})
-        known = self.known
-        return [list(chain.from_iterable(map(known.__getitem__, ws))) for ws in words]
+        self.learn(set().union(*words))
+        ids, sizes = self._ids_of(chain.from_iterable(words))
+        ends = np.cumsum([len(w) for w in words]) if words else np.zeros(0, np.int64)
+        total = np.r_[0, np.cumsum(sizes)][ends]
+        return ids, np.diff(total, prepend=0)
+
+    def decode_all(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The texts of ids that :meth:`encode` gave."""
+        lengths = self.plain_sizes[ids]
+        data = self.plain[_spread(self.plain_starts[ids], lengths)]
+        ends = np.r_[0, np.cumsum(lengths)][np.cumsum(sizes)]
+        starts = np.r_[0, ends[:-1]]
+        full = ends > starts
+        # The space that every text was given in front goes again.
+        gone = starts[full]
+        keep = np.ones(len(data), bool)
+        keep[gone] = False
+        offsets = np.r_[0, np.cumsum(ends - starts - full)].astype(np.int64)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[keep]))]
+        return pa.LargeStringArray.from_buffers(len(sizes), *buffers[1:]).cast(pa.string())
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.spelling.__getitem__, ids)).decode("utf-8", "replace")
@@ -213,9 +291,14 @@ def _pieces_for(data: bytes) -> Pieces:
 
 
 def encode(
-    docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model_path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_text: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``ids`` (piece ids of the whole text), ``n_tokens``.
+    """One row per row of ``docs``: id, ``ids`` (piece ids of the whole text), ``n_tokens``, and
+    if ``with_text`` the ``text`` decoded from them again.
 
     ``model_path`` names a byte-pair SentencePiece model with byte fallback, read once by the
     driver and broadcast. NULL and empty texts have no ids. Rows keep their order within a
@@ -224,29 +307,28 @@ def encode(
     ship_package(docs.sparkSession)
     data = broadcast_file(docs.sparkSession, model_path)
     id_type = docs.schema[id_col].dataType.simpleString()
+    names = ["id", "ids", "n_tokens", *(["text"] if with_text else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces_for(data.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for low, high in portions_of(texts, BATCH_CHARS):
-                coded = pieces.encode(texts[low:high])
-                sizes = np.array([len(c) for c in coded], np.int64)
-                flat = np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum()))
+                flat, sizes = pieces.encode(texts[low:high])
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                        pa.array(sizes),
-                    ],
-                    names=["id", "ids", "n_tokens"],
-                )
+                columns = [
+                    batch.column(0).slice(low, high - low),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array(sizes),
+                ]
+                if with_text:
+                    columns.append(pieces.decode_all(flat, sizes))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    schema = f"id {id_type}, ids array<int>, n_tokens long"
+    schema = f"id {id_type}, ids array<int>, n_tokens long" + ", text string" * with_text
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
@@ -272,5 +354,5 @@ def decode(
 def round_trip(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_tokens``, ``ids``, ``text`` (decoded again)."""
-    return decode(encode(docs, model_path, id_col, text_col), model_path)
+    """:func:`encode` with the decoded text beside the ids, in one pass."""
+    return encode(docs, model_path, id_col, text_col, with_text=True)

@@ -29,7 +29,7 @@ from varve.llm.bpe_paths import Pairs
 from varve.llm.common import broadcast_file, portions_of, ship_package
 
 STATE_LIMIT = 100_000
-WORD_LIMIT = 300_000
+WORD_LIMIT = 500_000
 BATCH_CHARS = 4_000_000
 OVER = 2048
 END = "</w>"
@@ -103,9 +103,7 @@ class Transducer:
         return number, least
 
     def _may_follow(self, last: str | None, token: str) -> bool:
-        if last is None:
-            return self.pairs.encode(self._spell(token)) == [token]
-        return self.pairs.fit(last, token)
+        return self.pairs.fit(token) if last is None else self.pairs.fit(last, token)
 
     def count(self, word: str) -> int:
         """Tokens of one word, spelt in byte letters."""
@@ -160,8 +158,9 @@ class Counter:
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         new = set().union(*cut).difference(known)
         if len(known) + len(new) > WORD_LIMIT:
-            known.clear()
-            new = set().union(*cut)
+            # The pieces of this portion stay, so the frequent ones are not counted again.
+            at_hand = set().union(*cut)
+            known = self.known = {w: n for w, n in known.items() if w in at_hand}
         for raw in new:
             known[raw] = self.count(raw)
         sizes = np.array([len(words) for words in cut], np.int64)
