@@ -156,15 +156,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A repeated row (same id, same text) stays as often as it occurs if its text stays with its
     id, since the repeats cannot be told apart.
     """
-    raw = F.xxhash64(F.col(text_col))
     judged = content_sort(docs, id_col, text_col, with_raw_hash=True)
     dropped = (
-        judged.groupBy(F.col(id_col).alias("drop_id"), F.col("raw_hash").alias("drop_hash"))
+        judged.groupBy(F.col(id_col).alias("id"), "raw_hash")
         .agg(F.max("kept").alias("kept"))
         .where("NOT kept")
-        .select("drop_id", "drop_hash")
+        .select("id", "raw_hash")
     )
     dropped = stored(dropped, "dropped")
     dropped = sized_broadcast(dropped, dropped.count() * 64, BROADCAST_LIMIT)
-    same = F.col(id_col).eqNullSafe(F.col("drop_id")) & (raw == F.col("drop_hash"))
-    return docs.join(dropped, same, "left_anti")
+    raw = F.xxhash64(F.col(f"d.{text_col}"))
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("x.id")) & (raw == F.col("x.raw_hash"))
+    return docs.alias("d").join(dropped.alias("x"), same, "left_anti")

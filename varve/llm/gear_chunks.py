@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varve.llm.common import ship_package, sized_broadcast
+from varve.llm.common import ship_package
 from varve.llm.part_enum import mix
 
 WINDOW = 32  # bytes that a 32-bit gear hash depends on
@@ -25,7 +25,6 @@ NEAREST = 12  # a cut this near after another possible one does not count
 LONGEST = 256
 MIN_WORDS = 30
 BATCH_BYTES = 4_000_000
-BROADCAST_LIMIT = 64 << 20
 
 _GEAR = (mix(np.arange(256, dtype=np.uint64) + np.uint64(1000)) >> np.uint64(32)).astype(np.uint32)
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(5000))
@@ -161,13 +160,14 @@ def remove_spans(
     docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with the spans that are not kept cut out of their texts; the rest is unchanged."""
-    cut = spans.where("NOT kept").groupBy(F.col(id_col).alias("cut_id")).agg(
+    cut = spans.where("NOT kept").groupBy(F.col(id_col).alias("id")).agg(
         F.sort_array(F.collect_list(F.struct("start", "n_bytes"))).alias("cuts")
     )
-    data = F.col(text_col).cast("binary")
+    text = F.col(f"d.{text_col}")
+    data = text.cast("binary")
     start = F.struct(F.lit(0).alias("at"), F.lit(b"").alias("left"))
     kept = F.aggregate(
-        "cuts",
+        "x.cuts",
         start,
         lambda so_far, c: F.struct(
             (c["start"] + c["n_bytes"]).alias("at"),
@@ -175,6 +175,6 @@ def remove_spans(
         ),
         lambda end: F.concat(end["left"], F.substring(data, end["at"] + 1, F.octet_length(data))),
     )
-    new = F.when(F.col("cuts").isNull(), F.col(text_col)).otherwise(kept.cast("string"))
-    rows = docs.join(cut, F.col(id_col) == F.col("cut_id"), "left")
-    return rows.withColumn(text_col, new).drop("cut_id", "cuts")
+    new = F.when(F.col("x.cuts").isNull(), text).otherwise(kept.cast("string")).alias(text_col)
+    rows = docs.alias("d").join(cut.alias("x"), F.col(f"d.{id_col}") == F.col("x.id"), "left")
+    return rows.select(*[new if c == text_col else F.col(f"d.`{c}`") for c in docs.columns])

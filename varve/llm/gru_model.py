@@ -54,8 +54,9 @@ def table_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word_rows.astype(np.int32), rows, counts
 
 
-def _sigmoid(x):
-    return 1.0 / (1.0 + np.exp(-x))
+def sigmoid(x):
+    with np.errstate(over="ignore"):
+        return 1.0 / (1.0 + np.exp(-x))
 
 
 @dataclass
@@ -142,7 +143,7 @@ def _run(px, u, mask, back=False, keep=False):
     saved = []
     for t in range(steps - 1, -1, -1) if back else range(steps):
         x, m = px[t], mask[t][:, None]
-        gates = _sigmoid(x[:, : 2 * STATE] + h @ u[:, : 2 * STATE])
+        gates = sigmoid(x[:, : 2 * STATE] + h @ u[:, : 2 * STATE])
         z, r = gates[:, :STATE], gates[:, STATE:]
         n = np.tanh(x[:, 2 * STATE :] + (r * h) @ u[:, 2 * STATE :])
         new = h + m * z * (n - h)
@@ -180,7 +181,7 @@ def gradients(p, table, index, mask, labels):
     e = np.exp(e - e.max(0))
     a = e / e.sum(0)
     pooled = (h * a[..., None]).sum(0)
-    y = _sigmoid(pooled @ p["o"] + p["c"][0])
+    y = sigmoid(pooled @ p["o"] + p["c"][0])
     dy = (y - labels) / len(labels)
     g["o"], g["c"] = pooled.T @ dy, np.array([dy.sum()], np.float32)
     dpooled = dy[:, None] * p["o"]

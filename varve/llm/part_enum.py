@@ -341,11 +341,10 @@ def _verified(spark, shared, texts, sketches, shingle, id_type):
     rows = paired.join(needed, paired["node"] == needed["id"]).select("hub", "low", "high", "own", "node", "text")
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
         ids = group["node"].to_pylist()
         own = group["own"].to_numpy()
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
-        sets = list(shingle_sets(group["text"].combine_chunks() if group["text"].num_chunks != 1 else group["text"].chunk(0), shingle))
+        sets = list(shingle_sets(pa.concat_arrays(group["text"].chunks), shingle))
         found = list(_links(ids, sets, own == low, own == high))
         kind = group.schema.field("node").type
         return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
@@ -361,7 +360,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows without an id stay. All columns are kept.
     """
     classes = jaccard_components(docs.select(id_col, text_col), id_col, text_col)
-    gone = classes.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone"))
+    gone = classes.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("id"))
     gone = stored(gone.distinct(), "gone")
     gone = sized_broadcast(gone, gone.count() * 48, BROADCAST_LIMIT)
-    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
+    same = F.col(f"d.{id_col}") == F.col("x.id")
+    return docs.alias("d").join(gone.alias("x"), same, "left_anti")

@@ -234,9 +234,9 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` in which no window of any item occurs, with all their columns."""
     exact, _ = find_passages(docs, items, id_col, text_col, item_col, item_text_col, window)
-    bad = exact.select(F.col("id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad = exact.select("id", "text_hash").distinct()
     bad = sized_broadcast(bad, bad.count() * 80, BROADCAST_LIMIT)
-    same = F.col(id_col).eqNullSafe(F.col("bad_id")) & (
-        F.xxhash64(F.col(text_col)) == F.col("bad_hash")
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("x.id")) & (
+        F.xxhash64(F.col(f"d.{text_col}")) == F.col("x.text_hash")
     )
-    return docs.join(bad, same, "left_anti")
+    return docs.alias("d").join(bad.alias("x"), same, "left_anti")

@@ -33,6 +33,8 @@ WORD_LIMIT = 500_000
 BATCH_CHARS = 4_000_000
 OVER = 2048
 END = "</w>"
+# The white space of Unicode, as the inside of a character class.
+WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_letters() -> list[str]:
@@ -127,6 +129,7 @@ class Counter:
             set(model["vocab"]), {(a, b): i for i, (a, b) in enumerate(merges)}
         )
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        split = split.replace(r"\s", WHITE_SPACE)
         for name, first in ((r"\p{L}", "L"), (r"\p{N}", "N")):
             split = split.replace(f"[{name}]", f"[{ranges_of(first)}]").replace(name, ranges_of(first))
         self.word = re.compile(split)

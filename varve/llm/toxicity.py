@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.llm import gru_model as net
@@ -209,9 +209,15 @@ def score_toxicity(
     texts score 0. Without labels of both kinds every text scores 0. Repeated rows score alike.
     An empty table gives no rows. Columns of ``docs`` with the new names are replaced.
     """
-    spark = docs.sparkSession
+    score = scorer(docs.sparkSession, training_sample(docs, labels, id_col, text_col))
+    out = docs.withColumn("held_out", held_out(id_col))
+    out = out.withColumn("score", score(F.coalesce(F.col(text_col), F.lit(""))))
+    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def scorer(spark: SparkSession, sample: list[tuple[str, int]]):
+    """The score of a text column as a function of columns, learnt from (text, toxic) rows."""
     ship_package(spark)
-    sample = training_sample(docs, labels, id_col, text_col)
     model = spark.sparkContext.broadcast(train([t for t, _ in sample], [y for _, y in sample]))
 
     @F.pandas_udf("double")
@@ -222,17 +228,15 @@ def score_toxicity(
             if not model.value.empty:
                 for low, high in portions_of(texts, BATCH_CHARS):
                     best = net.score_texts(model.value, texts[low:high])
-                    scores[low:high] = net._sigmoid(model.value.scale * best + model.value.shift)
+                    scores[low:high] = net.sigmoid(model.value.scale * best + model.value.shift)
             yield pd.Series(scores)
 
-    score = scores_of(F.coalesce(F.col(text_col), F.lit("")))
-    out = docs.withColumn("held_out", held_out(id_col)).withColumn("score", score)
-    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return scores_of
 
 
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic, with all their columns."""
-    names = docs.columns
-    return score_toxicity(docs, labels, id_col, text_col).where("predicted = 0").select(*names)
+    score = scorer(docs.sparkSession, training_sample(docs, labels, id_col, text_col))
+    return docs.where(score(F.coalesce(F.col(text_col), F.lit(""))) < THRESHOLD)
