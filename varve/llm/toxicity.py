@@ -30,6 +30,8 @@ BATCH = 72
 CALIBRATION = 4  # every fourth text of the sample only sets the threshold, if there are enough
 ENOUGH_TOXIC = 120
 FEATURES = 1 << 20
+LEAST_ODDS = 1.5  # a seed's log odds, and how far beyond chance its count must be
+LEAST_SPREADS = 4
 RATE = 0.02
 BATCH_CHARS = 2_000_000
 
@@ -51,7 +53,9 @@ def _seeds(vocabulary, numbered, labels):
         seen[label][np.unique(of_word[np.unique(words)])] += 1
     n, m = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
     odds = np.log((seen[1] + 0.2) / n) - np.log((seen[0] + 0.2) / m)
-    clear = (seen[1] >= 3) & (odds >= (2.0 if n >= ENOUGH_TOXIC else 1.5))
+    expected = (seen[0] + seen[1]) * (n / (n + m))
+    spread = np.sqrt(np.maximum(expected, 1e-9) * (m / (n + m)))
+    clear = (seen[1] >= 3) & (odds >= LEAST_ODDS) & (seen[1] - expected >= LEAST_SPREADS * spread)
     clear[-1] = False
     return clear[of_word].any(1)
 
