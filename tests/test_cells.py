@@ -98,3 +98,16 @@ def test_day_bounds(spark):
     df = spark.range(1).select(F.lit("2024-02-29").cast("date").alias("d"))
     got = df.select(day_bound("d"), day_bound("d", end_of_day=True)).first()
     assert tuple(got) == ("2024-02-29T00:00:00UTC", "2024-02-29T23:59:59UTC")
+
+
+@pytest.mark.parametrize("to", ["double", "int", "bigint"])
+def test_skipped_casts_would_have_failed(spark, to):
+    cells = ["18,4", "1.5", "Ip", "Acum", "Varias", "NaN", " nan", "inf", "-Infinity", "+1", "-.2", "1e3", "Inf", "I",
+             "", " ", "\t5", "5\t", "12abc", "١", "1d", "0x1F", " 7", None]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = df.select(safe("c", to).alias("a"), F.when(F.trim("c") != "", F.col("c").try_cast(to)).alias("b")).collect()
+    assert all(repr(r["a"]) == repr(r["b"]) for r in got)
+
+
+def test_label_without_entries(spark):
+    assert spark.range(1).select(label(F.lit("x"), {}, "none")).first()[0] == "none"

@@ -1,8 +1,8 @@
-import csv
 import random
 
 import pytest
 
+from tests.conftest import physical_plan
 from varve.sources import (
     extract_from_lines,
     extract_from_texts,
@@ -11,6 +11,7 @@ from varve.sources import (
     mark_lines,
     read_embedded_table,
 )
+from varve.sources.embedded import table_bounds
 
 COLUMNS = ["Year", "Jan", "J-D"]
 
@@ -91,41 +92,74 @@ def test_reports_name_the_files_without_header(spark):
     assert plain(file_report_from_lines(lines(spark))) == REPORT
 
 
-def cut_by_hand(text):
-    """The rows of the first table, by a plain loop."""
-    out, header = [], None
-    for line in text.split("\n"):
-        if header is None:
-            header = line.split(",") if line.strip().startswith("Year") else None
-            continue
-        first = line.split(",")[0].strip()
-        if len(first) != 4 or not first.isdigit():
-            break
-        values = dict(zip(header, next(csv.reader([line])), strict=False))
-        out.append(tuple(None if values.get(c) == "***" else values.get(c) for c in COLUMNS))
-    return out
-
-
-def random_text(rng):
-    parts = []
+def random_file(rng):
+    """A text and the rows of its first table, both written side by side."""
+    text, rows, state = [], [], "before"
     for _ in range(rng.randint(0, 4)):
-        parts += ["title"] * rng.randint(0, 2)
+        for _ in range(rng.randint(0, 2)):
+            text.append("title")
+            state = "after" if state == "inside" else state
         if rng.random() < 0.7:
-            parts.append(rng.choice(["Year,Jan,J-D", "Year,J-D,Jan", "Year,Jan"]))
+            header = rng.choice(["Year,Jan,J-D", "Year,J-D,Jan", "Year,Jan"])
+            text.append(header)
+            names = header.split(",")
+            state = {"before": "inside", "inside": "after", "after": "after"}[state]
         for _ in range(rng.randint(0, 5)):
-            parts.append(f"{rng.randint(1000, 2999)},{rng.choice(['***', '1', '-.2'])},{rng.randint(0, 9)}")
-        parts += rng.choice([[], [""], ["12345,1,2"], ["x,1"]])
-    return "\n".join(parts)
-
-
-def test_both_ways_agree_with_a_loop_on_random_files(spark):
+            values = [str(rng.randint(1000, 2999)), rng.choice(["***", "1", "-.2"]), str(rng.randint(0, 9))]
+            text.append(",".join(values))
+            if state == "inside":
+                value = {n: None if v == "***" else v for n, v in zip(names, values, strict=False)}
+                rows.append(tuple(value.get(c) for c in COLUMNS))
+        tail = rng.choice([[], [""], ["12345,1,2"], ["x,1"]])
+        text += tail
+        state = "after" if tail and state == "inside" else state
+    return "\n".join(text), rows
+
+
+def test_both_ways_agree_on_random_files(spark):
     rng = random.Random(7)
-    files = {f"{i}.csv": random_text(rng) for i in range(200)}
-    wanted = sorted([(n, *r) for n, t in files.items() for r in cut_by_hand(t)], key=str)
+    made = {f"{i}.csv": random_file(rng) for i in range(200)}
+    files = {name: text for name, (text, _) in made.items()}
+    wanted = sorted([(n, *r) for n, (_, rows) in made.items() for r in rows], key=str)
     assert plain(extract_from_texts(texts(spark, files), COLUMNS)) == wanted
     assert plain(extract_from_lines(lines(spark, files), COLUMNS)) == wanted
 
 
+MARKED = "\ufeffYear,Jan,J-D\n1880,1,2\n"
+ROW_LIKE = "1900h,Jan,J-D\n1880,1,2\n1900,3,4\n1881,5,6\nend\n1882,7,8\n"
+
+
+def test_marks_and_rows_that_begin_like_the_header(spark, tmp_path):
+    path = write(tmp_path / "m", {"m.csv": MARKED})
+    assert plain(read_embedded_table(spark, path, COLUMNS)) == [("1880", "1", "2")]
+    assert plain(extract_from_texts(texts(spark, {"m": MARKED}), COLUMNS)) == [("m", "1880", "1", "2")]
+    path = write(tmp_path / "r", {"r.csv": ROW_LIKE})
+    got = read_embedded_table(spark, path, ["1900h", "J-D"], header_prefix="1900")
+    assert plain(got) == [("1880", "2"), ("1900", "4"), ("1881", "6")] or plain(got) == [
+        ("1880", "2"), ("1881", "6"), ("1900", "4")
+    ]
+
+
+def test_columns_come_from_the_headers(spark, tmp_path):
+    path = write(tmp_path / "in", {"a.csv": "Year,B,A\n1900,1,2\n", "b.csv": "Year,C\n1901,3\n"})
+    got = read_embedded_table(spark, path, work_dir=str(tmp_path / "work"))
+    assert got.columns == ["Year", "B", "A", "C"]
+    assert plain(got) == [("1900", "1", "2", None), ("1901", None, None, "3")]
+    assert (tmp_path / "work" / "lines").is_dir()
+
+
+def test_bounds_and_rows_take_three_scans(spark, tmp_path):
+    path = write(tmp_path / "in", FILES)
+    lines_ = read_embedded_table(spark, path, COLUMNS)  # stores the lines and the bounds
+    assert len(lines_.inputFiles()) >= 1
+    marked = lines(spark)
+    marked.write.parquet(str(tmp_path / "lines"))
+    bounds = table_bounds(spark.read.parquet(str(tmp_path / "lines")))
+    bounds.collect()
+    plan = physical_plan(bounds).split("Initial Plan")[0]
+    assert plan.count("Scan parquet") - plan.count("ReusedExchange") <= 3
+
+
 def write(folder, files):
     folder.mkdir()
     for name, text in files.items():
@@ -137,19 +171,13 @@ def named(df):
     return sorted(((r["file"].rsplit("/", 1)[1], *tuple(r)[1:]) for r in df.collect()), key=str)
 
 
-def test_files_read_whole(spark, tmp_path):
+def test_files_of_a_folder(spark, tmp_path):
     path = write(tmp_path / "in", {**FILES, "notes.txt": TITLED})
     got = read_embedded_table(spark, path, COLUMNS, keep_file=True)
     assert named(got) == sorted(EXPECTED, key=str)
     assert read_embedded_table(spark, path, COLUMNS).columns == COLUMNS
 
 
-def test_files_read_by_line(spark, tmp_path):
-    path = write(tmp_path / "in", FILES)
-    got = read_embedded_table(spark, path, COLUMNS, keep_file=True, whole_file_limit=0)
-    assert named(got) == sorted(EXPECTED, key=str)
-
-
 def test_a_file_cut_into_many_splits(spark, tmp_path):
     rows = [f"{1000 + i % 9000},{i},{i % 7}" for i in range(20_000)]
     big = "\n".join(["title", "Year,Jan,J-D", *rows, "", "Year,Jan", "1999,9", *rows[:50]]) + "\n"
@@ -158,7 +186,7 @@ def test_a_file_cut_into_many_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
         assert spark.read.text(path).rdd.getNumPartitions() > 20
-        got = read_embedded_table(spark, path, COLUMNS, keep_file=True, whole_file_limit=4096)
+        got = read_embedded_table(spark, path, COLUMNS, keep_file=True)
         found = named(got)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -69,3 +69,18 @@ def test_a_landing_by_day_of_the_record(spark, tmp_path, rows):
         ("a", dt.date(2024, 1, 1)),
         ("b", dt.date(2024, 1, 2)),
     ]
+
+
+def test_another_order_of_columns_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("SID,SEASON\nS1,2020\n")
+    (tmp_path / "b.csv").write_text("SEASON,SID\n2021,S2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_strings(spark, str(tmp_path)).collect()
+
+
+def test_broken_records_fail_or_are_kept(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": "1"}\n{"a": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_records(spark, str(tmp_path), "a STRING").collect()
+    rows = read_records(spark, str(tmp_path), "a STRING", corrupt="bad").collect()
+    assert sorted((r["a"] or "", r["bad"] or "") for r in rows) == [("", '{"a": '), ("1", "")]

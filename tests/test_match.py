@@ -58,3 +58,12 @@ def test_request_plan_is_every_entity_with_every_piece(spark, rows):
     ]
     assert got.count() == 4
     assert "Exchange" not in physical_plan(got)
+
+
+def test_case_of_keywords_and_missing_order(spark):
+    df = spark.createDataFrame(
+        [("Madrid", None, {"a": 1}), ("MADRID SUR", 2, {"a": 2})], "name string, ord int, m map<string,int>"
+    )
+    got = first_match(df, "name", ["madrid", "Bilbao"], "ord").collect()
+    assert {r["keyword"]: r["name"] for r in got} == {"madrid": "MADRID SUR", "Bilbao": None}
+    assert filter_keywords(df, "name", ["maDrid"]).count() == 2

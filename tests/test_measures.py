@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from varve.functions import (
@@ -51,3 +53,11 @@ def test_rounding_keeps_nan_infinity_and_magnitude(spark):
 def test_ratio_by_zero_is_null(spark):
     df = spark.createDataFrame([(0, 10.0, 4.0), (1, 1.0, 0.0), (2, None, 1.0)], "i int, a double, b double")
     assert [r[0] for r in df.orderBy("i").select(safe_ratio("a", "b", 1)).collect()] == [2.5, None, None]
+
+
+def test_many_digits(spark):
+    df = spark.createDataFrame([(0.12345678912, 1.0, 1e10)], "x double, a double, b double")
+    got = df.select(round_half_up("x", 10), safe_ratio("a", "b", 12)).first()
+    assert tuple(got) == (0.1234567891, 1e-10)
+    with pytest.raises(ValueError):
+        round_half_up("x", 13)

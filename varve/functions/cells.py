@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 # Fixed value: the shape of a time of day. It checks the shape only, so 99:99 passes.
 HOUR_MINUTE = "^[0-9]{2}:[0-9]{2}$"
+# The code of a trace of rain, and the first and last second of a request's day.
+TRACE = "Ip"
+DAY_START, DAY_END = "T00:00:00UTC", "T23:59:59UTC"
+
+NUMBERS = {"tinyint", "smallint", "int", "integer", "bigint", "long", "float", "double"}
 
 
 def column(c: Column | str) -> Column:
@@ -23,10 +28,16 @@ def safe(c: Column | str, to: str) -> Column:
 
     A failing cast to a number raises and catches an error inside Spark, which costs tens of
     times what a good one does. Blank cells, which fill much of a dirty column, therefore skip
-    the cast. The test is kept this short because a wide projection of longer ones grows past
+    the cast; so do, for numbers, cells with a comma or with a letter in front that begins no
+    number. The tests are kept this short because a wide projection of longer ones grows past
     the method size the JVM compiles.
     """
-    return F.when(F.ltrim(column(c)) != "", column(c).try_cast(to))
+    text = column(c)
+    start = F.ltrim(text)
+    if to.lower() in NUMBERS:
+        hopeful = (start != "") & (start < "A") | start.rlike("^[nNiI]")
+        return F.when(hopeful & ~text.contains(","), text.try_cast(to))
+    return F.when(start != "", text.try_cast(to))
 
 
 def strict_date(c: Column | str) -> Column:
@@ -39,12 +50,12 @@ def locale_double(c: Column | str, decimal: str = ",") -> Column:
     return safe(F.replace(column(c), F.lit(decimal), F.lit(".")), "double")
 
 
-def trace_value(c: Column | str, token: str = "Ip", value: float = 0.0) -> Column:
+def trace_value(c: Column | str, token: str = TRACE, value: float = 0.0) -> Column:
     """``value`` for the trace code, else the number; a missing cell stays NULL."""
     return F.when(column(c) == token, F.lit(float(value))).otherwise(locale_double(c))
 
 
-def trace_flag(c: Column | str, token: str = "Ip") -> Column:
+def trace_flag(c: Column | str, token: str = TRACE) -> Column:
     """TRUE for the trace code, FALSE for any other text, NULL for a missing cell."""
     return column(c) == token
 
@@ -56,12 +67,10 @@ def guard(c: Column | str, pattern: str) -> Column:
 
 def label(c: Column | str, labels: Mapping[str, str], default: str) -> Column:
     """The label of a code; ``default`` for an unlisted or missing code."""
-    branches = iter(labels.items())
-    code, text = next(branches)
-    chain = F.when(column(c) == code, F.lit(text))
-    for code, text in branches:
+    chain = F
+    for code, text in labels.items():
         chain = chain.when(column(c) == code, F.lit(text))
-    return chain.otherwise(F.lit(default))
+    return chain.otherwise(F.lit(default)) if labels else F.lit(default)
 
 
 def null_token(c: Column | str, token: str) -> Column:
@@ -71,5 +80,5 @@ def null_token(c: Column | str, token: str) -> Column:
 
 def day_bound(c: Column | str, end_of_day: bool = False) -> Column:
     """First or last second of a day as text, in UTC: ``2024-01-31T23:59:59UTC``."""
-    clock = "T23:59:59UTC" if end_of_day else "T00:00:00UTC"
+    clock = DAY_END if end_of_day else DAY_START
     return F.concat(F.date_format(column(c), "yyyy-MM-dd"), F.lit(clock))

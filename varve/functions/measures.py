@@ -9,17 +9,23 @@ from varve.functions.cells import column
 
 # Beyond this magnitude a double has no digits left to round at the second decimal.
 _EXACT_DECIMAL_BOUND = 1e15
+MOST_DIGITS = 12
 
 
 def round_half_up(c: Column | str, digits: int) -> Column:
-    """Round half up through a decimal of eight places.
+    """Round half up through a decimal with six places more than ``digits``, eight at least.
 
     A sum of doubles differs in its last bits with the order in which partitions arrive. The
-    decimal step removes that noise first, so a tie rounds the same way on every run. NaN,
-    infinities and magnitudes a decimal cannot hold are rounded as doubles.
+    decimal step removes that noise first, so a tie rounds the same way on every run. It is a
+    rounding of its own: a value nearer to a tie than the decimal's last place rounds up. NaN,
+    infinities and values of 1e15 and more are rounded as doubles. More than ``MOST_DIGITS``
+    digits do not fit the decimal and are an error.
     """
+    if digits > MOST_DIGITS:
+        raise ValueError(f"at most {MOST_DIGITS} digits can be rounded, not {digits}")
+    places = max(8, digits + 6)
     c = column(c).cast("double")
-    exact = F.round(c.cast("decimal(28,8)"), digits).cast("double")
+    exact = F.round(c.cast(f"decimal({20 + places},{places})"), digits).cast("double")
     return F.when(F.abs(c) < _EXACT_DECIMAL_BOUND, exact).otherwise(F.round(c, digits))
 
 

@@ -15,9 +15,9 @@ from varve.operators.reshape import split_intervals
 
 
 def filter_keywords(df: DataFrame, column: str, keywords: Sequence[str]) -> DataFrame:
-    """Rows whose text contains any of the upper-case ``keywords``, whatever the text's case."""
+    """Rows whose text contains any of the ``keywords``, whatever the case of either."""
     name = F.upper(F.col(column))
-    return df.where(reduce(or_, [name.contains(k) for k in keywords]))
+    return df.where(reduce(or_, [name.contains(F.upper(F.lit(k))) for k in keywords]))
 
 
 def _keyword_array(keywords: Sequence[str]) -> Column:
@@ -34,21 +34,24 @@ def first_match(
     """One row per keyword: the first row, by ``order``, whose text contains it.
 
     The result has the columns of ``df`` after ``keyword``; they are NULL for a keyword found
-    nowhere, or such keywords are left out with ``keep_unmatched=False``. Rows with equal
-    ``order`` are told apart by their other columns.
+    nowhere, or such keywords are left out with ``keep_unmatched=False``. Case does not matter;
+    ``keyword`` keeps its own. NULL comes last in ``order``, and rows with equal ``order`` are
+    told apart by their other columns that have an order.
 
     The keywords are part of the query, so each row finds its own matches without a join. The
     first row is a minimum, which every task takes before the shuffle: a keyword that matches
     a large share of all rows costs one row per task.
     """
-    others = [c for c in df.columns if c != order]
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    others = [c for c in df.columns if c != order and c not in maps]
+    place = F.struct(F.col(order).isNull(), order, *others)
     name = F.upper(F.col(column))
-    hits = F.filter(_keyword_array(keywords), lambda k: name.contains(k))
+    hits = F.filter(_keyword_array(keywords), lambda k: name.contains(F.upper(k)))
     found = (
         filter_keywords(df, column, keywords)
-        .select(F.explode(hits).alias("keyword"), F.struct(order, *others).alias("_row"))
+        .select(F.explode(hits).alias("keyword"), F.struct(*df.columns).alias("_row"), place.alias("_place"))
         .groupBy("keyword")
-        .agg(F.min("_row").alias("_row"))
+        .agg(F.min_by("_row", "_place").alias("_row"))
     )
     if keep_unmatched:
         wanted = df.sparkSession.range(1).select(

@@ -28,11 +28,11 @@ def drop_units_row(df: DataFrame, column: str, marker: str) -> DataFrame:
 def drop_out_of_domain(df: DataFrame, measure: str) -> DataFrame:
     """Remove rows whose measure is NaN, which marks a place outside the domain.
 
-    Works on text (``'NaN'``) and on doubles. NULL measures go as well, in both forms.
+    Works on text (any text that casts to NaN) and on doubles. NULL measures go as well.
     """
     c = F.col(measure)
     if dict(df.dtypes)[measure] == "string":
-        return df.where(c != F.lit("NaN"))
+        return df.where((c != F.lit("NaN")) & (F.lower(F.trim(c)) != "nan"))
     return df.where(c.isNotNull() & ~F.isnan(c))
 
 

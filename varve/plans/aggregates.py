@@ -37,7 +37,8 @@ def yearly_summary(
     """One row per year with the measures of four sources, NULL where one has none; by year.
 
     Three sources are grouped by year first, so they hold each year once and meet in one
-    grouping. The wide temperature table is not grouped and may repeat a year.
+    grouping. The wide temperature table is not grouped and may repeat a year; as it has a row
+    per year only, one full outer join brings it in, and every source is read once.
     """
     sea = oisst.groupBy("anio").agg(
         round_half_up(F.avg("temp_superficial_c"), 2).alias("sst_mediterraneo_c")
@@ -56,7 +57,7 @@ def yearly_summary(
         round_half_up(F.sum("precipitacion_mm"), 1).alias("precipitacion_total_espana_mm"),
     )
     air = gistemp.select("anio", F.col("anomalia_media_anual").alias("anomalia_temp_global_c"))
-    return align([sea, storms, climate], "anio", detail=air).orderBy("anio")
+    return air.join(align([sea, storms, climate], "anio"), "anio", "full").orderBy("anio")
 
 
 def episode_against_normal(

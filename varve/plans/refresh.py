@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from varve.operators import drop_units_row, stamp
 from varve.plans import aggregates, clean, layouts
@@ -63,6 +64,9 @@ COLUMN_COMMENTS = {
 }
 
 
+CORRUPT = "_corrupt_record"
+
+
 @dataclass(frozen=True)
 class TableRun:
     """What a run did to one table."""
@@ -70,6 +74,7 @@ class TableRun:
     rows: int
     rows_read: int
     undocumented: list[str]
+    corrupt: int = 0
 
 
 def refresh(
@@ -79,9 +84,11 @@ def refresh(
 
     Each layer reads the stored tables of the one before, so nothing is computed twice and a
     failed run can start again at any table. Per table the result holds the rows written, the
-    rows read before a units line was dropped, and the documented names that are no columns;
-    rows are counted by the writes themselves.
+    rows read before a units line was dropped, the documented names that are no columns, and the
+    texts that were no JSON record, which are left out; rows are counted by the writes themselves.
     """
+    if run_date is None:  # one date for the whole run, even past midnight
+        run_date = spark.range(1).select(F.current_date()).first()[0]
     for schema in SCHEMAS:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     done: dict[str, TableRun] = {}
@@ -93,10 +100,14 @@ def refresh(
         units: tuple[str, str] | None = None,
     ) -> DataFrame:
         comments = column_comments or COLUMN_COMMENTS.get(name)
-        source, read = observed(df)
+        broken = {"corrupt": F.col(CORRUPT).isNotNull()} if CORRUPT in df.columns else {}
+        source, read = observed(df, **broken)
+        if broken:
+            source = source.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         kept, written = observed(drop_units_row(source, *units) if units else source)
         missing = save_table(kept, name, TABLE_COMMENTS.get(name), comments)
-        done[name] = TableRun(written.get["rows"], read.get["rows"], missing)
+        counts = read.get
+        done[name] = TableRun(written.get["rows"], counts["rows"], missing, counts.get("corrupt", 0))
         return spark.table(name)
 
     def stamped(df: DataFrame) -> DataFrame:
@@ -120,11 +131,13 @@ def refresh(
     dictionary = comments_from_dictionary(inputs.dictionary)
     stations_raw = store(
         "bronze.aemet_climatologia_raw",
-        read_records(spark, inputs.stations, f"{fields}, ciudad_objetivo STRING"),
+        read_records(spark, inputs.stations, f"{fields}, ciudad_objetivo STRING", corrupt=CORRUPT),
         dictionary,
     )
     episode_raw = store(
-        "bronze.aemet_dana_raw", read_records(spark, inputs.episode, fields), dictionary
+        "bronze.aemet_dana_raw",
+        read_records(spark, inputs.episode, fields, corrupt=CORRUPT),
+        dictionary,
     )
 
     gistemp = store("silver.nasa_gistemp_clean", clean.clean_gistemp(gistemp_raw))

@@ -63,15 +63,14 @@ def document_table(
     column_comments: Mapping[str, str] | None = None,
 ) -> list[str]:
     """Comment a stored table without rewriting it; returns the names that are not its columns."""
-    columns = set(spark.table(name).columns)
+    columns = {c.lower(): c for c in spark.table(name).columns}
     missing = []
     for column, text in (column_comments or {}).items():
-        if column not in columns:
+        if column.lower() not in columns:
             missing.append(column)
             continue
-        spark.sql(
-            f"ALTER TABLE {_quoted(name)} ALTER COLUMN `{column}` COMMENT {_literal(text)}"
-        )
+        quoted = columns[column.lower()].replace("`", "``")
+        spark.sql(f"ALTER TABLE {_quoted(name)} ALTER COLUMN `{quoted}` COMMENT {_literal(text)}")
     if comment is not None:
         spark.sql(f"COMMENT ON TABLE {_quoted(name)} IS {_literal(comment)}")
     return missing

@@ -12,7 +12,8 @@ Two ways to the same rows:
   any size and spread over many tasks. Only each file's two bounds are aggregated, and joins
   go by file and part, so that a file with a large share of all lines stays spread.
 
-``read_embedded_table`` reads every file, choosing by its size.
+``read_embedded_table`` reads files, always by line. The whole-text form is for a column of short
+texts, since it holds a text and its lines in one row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from varve.sources.files import require_files
 HEADER_PREFIX = "Year"
 FIRST_FIELD = "[0-9]{4}"
 NULL_TOKEN = "***"
-WHOLE_FILE_LIMIT = 16 * 1024 * 1024
 
 _BLANKS = " \t\r\f\x0b"
 _BLANK = r"[ \t\r\f\x0b]*"
@@ -87,6 +87,8 @@ def _cut(texts: DataFrame, header_prefix: str, first_field: str) -> DataFrame:
     Both cuts split once at the first match, so the text is searched no further than needed.
     """
     text = F.col("text")
+    # A byte order mark at the start is no part of the text, as for Spark's line reader.
+    text = F.when(F.startswith(text, F.lit("\ufeff")), F.substring(text, 2, 2**31 - 1)).otherwise(text)
     unix = F.when(text.contains("\r"), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
     to_header = rf"\n(?={_BLANK}{re.escape(header_prefix)})"
     past_table = rf"\n(?!{_row_start(first_field)})"
@@ -117,7 +119,7 @@ def extract_from_texts(
 def file_report(
     texts: DataFrame, header_prefix: str = HEADER_PREFIX, first_field: str = FIRST_FIELD
 ) -> DataFrame:
-    """(file, text) to (file, has_header, table_rows)."""
+    """(file, text) to (file, has_header, table_rows); for short texts, as ``extract_from_texts``."""
     return _cut(texts, header_prefix, first_field).select(
         "file",
         F.col("lines").isNotNull().alias("has_header"),
@@ -135,36 +137,30 @@ def mark_lines(
     )
 
 
-def _spread(marked: DataFrame, per_file: DataFrame) -> DataFrame:
-    """A copy of each file's row for each of its parts."""
-    return marked.select("file", "part").distinct().join(per_file, "file")
-
-
 def table_bounds(marked: DataFrame) -> DataFrame:
     """Where each file's table lies, one row per file with a header and part of it.
 
     (file, part, header, head_pos, stop_pos): the place of the header and that of the first
-    line past the table, NULL where the table runs to the end of the file.
+    line past the table, NULL where the table runs to the end of the file. Only a line that is
+    no row ends a table, even if a row begins like a header.
     """
-    heads = (
-        marked.where("is_header")
-        .groupBy("file")
-        .agg(F.min(F.struct("pos", "line")).alias("_head"))
-        .select("file", F.col("_head.pos").alias("head_pos"), F.col("_head.line").alias("header"))
+    parts = marked.groupBy("file", "part").agg(
+        F.min(F.when(F.col("is_header"), F.col("pos"))).alias("head_pos")
     )
+    heads = parts.groupBy("file").agg(F.min("head_pos").alias("head_pos"))
+    spread = parts.select("file", "part").join(heads.where("head_pos IS NOT NULL"), "file")
     # The header itself is among these lines, so a file whose table runs to its end stays.
-    outside = marked.where(F.col("is_header") | ~F.col("is_row")).select("file", "part", "pos")
-    past = F.when(F.col("pos") > F.col("head_pos"), F.col("pos"))
+    outside = marked.where(F.col("is_header") | ~F.col("is_row"))
+    past = ~F.col("is_row") & (F.col("pos") > F.col("head_pos"))
     per_file = (
-        outside.join(_spread(marked, heads), ["file", "part"])
+        outside.join(spread, ["file", "part"])
         .groupBy("file")
         .agg(
-            F.first("header").alias("header"),
-            F.first("head_pos").alias("head_pos"),
-            F.min(past).alias("stop_pos"),
+            F.max(F.when(F.col("pos") == F.col("head_pos"), F.col("line"))).alias("header"),
+            F.min(F.when(past, F.col("pos"))).alias("stop_pos"),
         )
     )
-    return _spread(marked, per_file)
+    return spread.join(per_file, "file")
 
 
 def _inside(marked: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -205,15 +201,8 @@ def file_report_from_lines(marked: DataFrame) -> DataFrame:
     )
 
 
-def _whole_texts(spark: SparkSession, path: str, glob: str, limit: int) -> DataFrame:
-    files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-    return files.where(F.col("_metadata.file_size") <= limit).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
-    )
-
-
-def text_lines(spark: SparkSession, path: str, glob: str, above: int = -1) -> DataFrame:
-    """(file, part, pos, line) of the files larger than ``above`` bytes.
+def text_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(file, part, pos, line) of the matching files.
 
     One task reads a split of a file from front to back, so the split's offset and the running
     id within the task order the lines of the file; the split is the part. Another read may
@@ -223,7 +212,6 @@ def text_lines(spark: SparkSession, path: str, glob: str, above: int = -1) -> Da
     return (
         spark.read.option("pathGlobFilter", glob)
         .text(path)
-        .where(F.col("_metadata.file_size") > above)
         .select(
             F.col("_metadata.file_path").alias("file"),
             split.alias("part"),
@@ -235,37 +223,42 @@ def text_lines(spark: SparkSession, path: str, glob: str, above: int = -1) -> Da
     )
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    target = scratch_path(spark, name)
-    df.write.parquet(target)
-    return spark.read.parquet(target)
-
-
 def read_embedded_table(
     spark: SparkSession,
     path: str,
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     header_prefix: str = HEADER_PREFIX,
     first_field: str = FIRST_FIELD,
     null_token: str = NULL_TOKEN,
     glob: str = "*.csv",
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
     keep_file: bool = False,
+    work_dir: str | None = None,
 ) -> DataFrame:
     """The embedded table of every matching file under ``path``.
 
-    Files up to ``whole_file_limit`` bytes are read whole, one row each. The lines of larger
-    ones are first stored in the shared folder; it is the caller's to clear, once the result
-    has been used. ``keep_file`` adds the path each row came from.
+    Every file, of any size, is read by line, and its lines are first stored with their places
+    as Parquet under ``work_dir`` (a new folder in the shared folder if it is not given). That
+    folder is the caller's to clear once the result has been used. Without ``columns`` the names
+    are those of all files' headers, in the order in which they come first by file and field.
+    ``keep_file`` adds the path each row came from.
     """
     require_files(spark, path, glob)
-    texts = _whole_texts(spark, path, glob, whole_file_limit)
-    table = extract_from_texts(texts, columns, header_prefix, first_field, null_token)
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    if not listing.where(F.col("length") > whole_file_limit).select("path").isEmpty():
-        lines = text_lines(spark, path, glob, above=whole_file_limit)
-        marked = _stored(mark_lines(lines, header_prefix, first_field), "lines")
-        bounds = _stored(table_bounds(marked), "bounds")
-        table = table.unionByName(extract_from_lines(marked, columns, null_token, bounds))
+    work_dir = work_dir or scratch_path(spark, "embedded")
+    marked = mark_lines(text_lines(spark, path, glob), header_prefix, first_field)
+    marked.write.parquet(f"{work_dir}/lines")
+    marked = spark.read.parquet(f"{work_dir}/lines")
+    table_bounds(marked).write.parquet(f"{work_dir}/bounds")
+    bounds = spark.read.parquet(f"{work_dir}/bounds")
+    if columns is None:
+        columns = _header_names(bounds)
+    table = extract_from_lines(marked, columns, null_token, bounds)
     return table if keep_file else table.drop("file")
+
+
+def _header_names(bounds: DataFrame) -> list[str]:
+    """The distinct names of all headers; one value per column reaches the driver."""
+    headers = bounds.groupBy("header").agg(F.min("file").alias("file"))
+    names = headers.select("file", F.posexplode(F.split("header", ",", -1)).alias("at", "name"))
+    first = names.groupBy(_strip(F.col("name")).alias("name")).agg(F.min(F.struct("file", "at")).alias("first"))
+    ordered = F.sort_array(F.collect_list(F.struct("first", "name")))["name"]
+    return first.where("name != ''").agg(ordered).first()[0]

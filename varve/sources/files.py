@@ -24,15 +24,15 @@ def read_strings(
     """CSV with a header line, every column as text.
 
     ``path`` is a file or a directory; every file that matches ``glob`` is read. Without
-    ``columns`` the names come from the first header. With them, a file whose header differs
+    ``columns`` the names come from the first header. In both cases a file whose header differs
     is an error rather than a shifted table.
     """
+    require_files(spark, path, glob)
     reader = spark.read.option("header", True).option("pathGlobFilter", glob)
-    if columns is not None:
-        require_files(spark, path, glob)
-        schema = StructType([StructField(c, StringType()) for c in columns])
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    if columns is None:
+        columns = reader.csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in columns])
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_typed(
@@ -49,12 +49,23 @@ def read_typed(
 
 
 def read_records(
-    spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    multiline: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """JSON records: one object per line, or an array of objects in one line.
 
-    Keys absent from a record give NULL. Directories named ``column=value`` add that column and
+    Keys absent from a record give NULL. Text that is no record fails the query; with ``corrupt``
+    it becomes a row of NULLs whose text is in the column of that name, to be counted. Directories named ``column=value`` add that column and
     are pruned by filters on it. An array printed over several lines needs ``multiline``, and
     one task then reads the whole file.
     """
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    reader = spark.read.option("multiLine", multiline)
+    if corrupt is None:
+        return reader.schema(schema).option("mode", "FAILFAST").json(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    schema = StructType([*schema.fields, StructField(corrupt, StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", corrupt).json(path)

@@ -11,6 +11,7 @@ from varve.functions import (
     label,
     locale_double,
     null_token,
+    round_half_up,
     safe,
     strict_date,
     trace_flag,
@@ -154,3 +155,19 @@ def sentinel_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stamped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return stamp(customers, run_date="2024-11-05")
+
+
+@query("""
+SELECT event_id, CAST(round(CAST(value AS DECIMAL(28,8)), 0) AS DOUBLE) AS entero,
+       CAST(round(CAST(value AS DECIMAL(28,8)), 2) AS DOUBLE) AS dos,
+       CAST(round(CAST(value / 7 AS DECIMAL(36,16)), 10) AS DOUBLE) AS diez
+FROM events
+""")
+def rounded_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = F.col("value")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        round_half_up(value, 0).alias("entero"),
+        round_half_up(value, 2).alias("dos"),
+        round_half_up(value / 7, 10).alias("diez"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varve.functions import count_where, locale_double, trace_flag, trace_value
+from varve.functions import locale_double, trace_flag, trace_value
 from varve.operators import (
     drop_out_of_domain,
     drop_units_row,
@@ -13,6 +13,8 @@ from varve.operators import (
     sample_rows,
     top_k,
 )
+from varve.session import scratch_path
+from varve.sinks import observed
 from workload.dirty import DIRTY_SQL, dirty_events
 from workload.registry import query, table
 
@@ -45,10 +47,14 @@ SELECT CAST(count(*) + 1 AS BIGINT) AS rows_read, CAST(count(*) AS BIGINT) AS ro
 FROM events
 """)
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the write of an ingest takes along."""
     raw = _event_file(spark, sf_dir)
-    return raw.agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        count_where(F.col("time") != "UTC").alias("rows_kept"),
+    source, read = observed(raw)
+    kept, written = observed(drop_units_row(source, "time", "UTC"))
+    kept.write.parquet(scratch_path(spark, "ingest"))
+    return spark.range(1).select(
+        F.lit(read.get["rows"]).cast("long").alias("rows_read"),
+        F.lit(written.get["rows"]).cast("long").alias("rows_kept"),
         F.lit(len(raw.columns)).alias("columns_read"),
     )
 
@@ -97,7 +103,7 @@ WHERE upper(p_name) LIKE '%ANVIL%' OR upper(p_name) LIKE '%RING%'
 """)
 def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return filter_keywords(names, "p_name", ["ANVIL", "RING"])
+    return filter_keywords(names, "p_name", ["Anvil", "ring"])
 
 
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]

@@ -9,7 +9,7 @@ from varve.functions import safe, strict_date
 from varve.operators import project
 from varve.session import scratch_path
 from varve.sinks import comments_from_dictionary, land_records, save_table
-from varve.sources import read_records, read_strings, read_typed
+from varve.sources import read_embedded_table, read_records, read_strings, read_typed
 from workload.registry import query, table
 
 _TEXT = ["event_id", "user_id", "event_type", "value", "props", "fecha"]
@@ -61,6 +61,49 @@ def typed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_typed(spark, path, schema)
 
 
+@query("""
+SELECT CAST(year(ts) AS VARCHAR) AS "Year", CAST(event_id AS VARCHAR) AS id, event_type AS kind FROM events
+""")
+def embedded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables in text files: one with a byte order mark, one with its columns in another order."""
+    path = scratch_path(spark, "embedded")
+    year = F.year("ts").cast("string")
+    group = (F.col("event_id") % 3).cast("int")
+    cells = F.when(group == 1, F.concat_ws(",", year, "event_type", "event_id"))
+    rows = table(spark, sf_dir, "events").select(
+        group.alias("g"),
+        F.col("event_id").alias("place"),
+        cells.otherwise(F.concat_ws(",", year, "event_id", "event_type")).alias("line"),
+    )
+    around = spark.createDataFrame(
+        [(0, -2, "Some title"), (0, -1, "Year,id,kind"), (1, -1, "Year,kind,id"), (2, -1, "\ufeffYear,id,kind")]
+        + [(g, 2**60 + i, line) for g in range(3) for i, line in enumerate(["", "Year,id", "1999,x"])],
+        "g int, place long, line string",
+    )
+    ordered = rows.unionByName(around).repartition(3, "g").sortWithinPartitions("g", "place")
+    ordered.select("g", "line").write.partitionBy("g").text(path)
+    return read_embedded_table(spark, path, ["Year", "id", "kind"], glob="*.txt")
+
+
+@query("""
+SELECT CAST(count(*) AS BIGINT) AS registros, CAST(count(*) FILTER (event_id % 10 = 0) AS BIGINT) AS rotos,
+       CAST(sum(event_id) FILTER (event_id % 10 <> 0) AS BIGINT) AS suma
+FROM events
+""")
+def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth record is cut off in the middle."""
+    path = scratch_path(spark, "records")
+    record = F.to_json(F.struct("event_id", "event_type"))
+    cut = F.when(F.col("event_id") % 10 == 0, F.substring(record, 1, 12)).otherwise(record)
+    table(spark, sf_dir, "events").select(cut.alias("value")).write.text(path)
+    read = read_records(spark, path, "event_id BIGINT, event_type STRING", corrupt="roto")
+    return read.agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.count("roto").alias("rotos"),
+        F.sum("event_id").alias("suma"),
+    )
+
+
 _DICTIONARY = [
     {"id": "event_id", "descripcion": "Número del evento"},
     {"id": "event_type", "descripcion": "Tipo 'corto' del evento"},
@@ -83,7 +126,8 @@ def comment_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_table(events, name, "Eventos", comments_from_dictionary(_DICTIONARY), path=path)
     stored = spark.table(name)
     comments = {f.name: f.metadata["comment"] for f in stored.schema if "comment" in f.metadata}
-    counted = stored.agg(*[F.count(c).alias(c) for c in comments])
+    spark.sql(f"DROP TABLE {name}")  # its files stay under the scratch path
+    counted = spark.read.parquet(path).agg(*[F.count(c).alias(c) for c in comments])
     rows = counted.unpivot([], list(comments), "columna", "valores")
     texts = F.create_map(*[F.lit(x) for pair in comments.items() for x in pair])
     return rows.select("columna", texts[F.col("columna")].alias("comentario"), "valores")
