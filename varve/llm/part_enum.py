@@ -29,7 +29,7 @@ from varve.llm.common import ship_package, sized_broadcast, stored
 from varve.llm.components import connected_components
 
 SHINGLE = 5
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 BROADCAST_LIMIT = 64 << 20
 SIGNATURES_PER_BATCH = 500_000
 BLOCK_SETS = 1000

@@ -24,8 +24,8 @@ from varve.llm.common import broadcast_file, portions_of, ship_package
 
 SPACE = "▁"
 WORD_LIMIT = 300_000
-BATCH_CHARS = 2_000_000
-WORDS_AT_ONCE = 20_000
+BATCH_CHARS = 1_000_000
+WORDS_AT_ONCE = 10_000
 PAIR_LIMIT = 2_000_000
 
 

@@ -33,7 +33,7 @@ FEATURES = 1 << 20
 LEAST_ODDS = 1.5  # a seed's log odds, and how far beyond chance its count must be
 LEAST_SPREADS = 4
 RATE = 0.02
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 def _features(word):
