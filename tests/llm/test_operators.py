@@ -181,6 +181,19 @@ def test_links_near_the_threshold(spark):
     assert key(tuple(r) for r in got) == key(components_by_hand(rows))
 
 
+def test_hubs_of_many_blocks_lose_no_link(spark, monkeypatch):
+    """Chains whose ends are not near their hub, and a large group of near copies."""
+    monkeypatch.setattr(part_enum, "BLOCK_SETS", 4)
+    words = prose(260, 300).split(" ")
+    rows = [(k, " ".join(words[2 * k : 2 * k + 100])) for k in range(40)]
+    copy = prose(150, 301).split(" ")
+    rows += [(100 + k, edited(copy, k % 6, k)) for k in range(40)]
+    rows += [(100, rows[5][1]), (150, ""), (151, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = part_enum.jaccard_components(df).collect()
+    assert key(tuple(r) for r in got) == key(components_by_hand(rows))
+
+
 def test_every_linked_pair_shares_a_signature():
     import numpy as np
 

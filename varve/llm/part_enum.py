@@ -12,8 +12,9 @@ The order puts parts first that hold the fewest shingles known, from a bounded s
 frequent. So a line or passage that many documents share makes few of them candidates.
 
 Sets that share a signature share its smallest member, the hub. Equal sets are one from the
-start. The members of each hub are compared in blocks of bounded size, one task for each pair
-of blocks, and only links that join something new leave a task, never pairs.
+start. The members of a hub are compared in blocks of bounded size, each with the hub. Members
+that are joined to the hub there are done; the few others of a hub with several blocks are
+compared with all its blocks. Only links that join something new leave a task, never pairs.
 """
 
 from __future__ import annotations
@@ -180,10 +181,14 @@ def _part_signatures(shingles, mixed, rare, instance, parts, wanted):
     return signed[np.lexsort((signed, -weight))[:wanted]]
 
 
-def _links(ids: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray):
-    """Links (as positions) that join what is not joined yet, between ``left`` and ``right``.
+def _links(ids: list, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, hub=None):
+    """Links that join what is not joined yet, between ``left`` and ``right``, and every
+    position's root.
 
-    The overlap of one set with all others is a count over the shingles' lists of sets.
+    The overlap of one set with all others is a count over the shingles' lists of sets. With
+    ``hub`` (all sets in ``left`` and ``right`` then) its sets come first, and sets joined to it
+    by their turn are not compared again: a link of theirs leads into the hub's component, or to
+    a set that has, or had, a turn of its own.
     """
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -199,18 +204,22 @@ def _links(ids: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.n
             x = parent[x]
         return x
 
-    names = flat[start]
-    for x in np.flatnonzero(left).tolist():
+    names, found = flat[start], []
+    hubs = [i for i, node in enumerate(ids) if node == hub] if hub is not None else []
+    for x in [*hubs, *np.setdiff1d(np.flatnonzero(left), hubs).tolist()]:
+        if x not in hubs and any(root(x) == root(h) for h in hubs):
+            continue
         at = np.searchsorted(names, sets[x])
         first, count = start[at], many[at]
         within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         common = np.bincount(owner[np.repeat(first, count) + within], minlength=len(sets))
-        near = 100 * common >= 80 * (sizes + sizes[x] - common)
+        near = (common > 0) & (100 * common >= 80 * (sizes + sizes[x] - common))
         for y in np.flatnonzero(near & right).tolist():
-            a, b = root(x), root(y)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                yield ids[x], ids[y]
+            one, other = root(x), root(y)
+            if one != other:
+                parent[max(one, other)] = min(one, other)
+                found.append((ids[x], ids[y]))
+    return found, [root(x) for x in range(len(sets))]
 
 
 def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -242,8 +251,10 @@ def jaccard_components(
     as a-z), or its whole word sequence if it is shorter. Sets link at a Jaccard similarity of at
     least 0.8; ``component_id`` is the smallest id reachable by links. NULL, empty and blank texts
     have no shingles and no links. Equal sets are one node, so copies cost nothing further. Rows
-    that share an id are one document, whose links are those of all its texts; a row without an
-    id links with nothing and has a NULL component. An empty table gives no rows.
+    that share an id are one document, whose links are those of all its texts, with two
+    exceptions: a row with an empty text stands for itself, and texts that are all copies of texts
+    with smaller ids take the component of these, each its own. A row without an id links with
+    nothing and has a NULL component. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -317,41 +328,87 @@ def jaccard_components(
     )
 
 
+def _blocks_of(rows: DataFrame, name: str) -> DataFrame:
+    """(hub, ``name``): how many blocks of bounded size the sets of each hub make."""
+    blocks = F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_SETS)
+    return rows.groupBy("hub").agg(F.ceil(blocks).cast("int").alias(name))
+
+
+def _measured(df: DataFrame, name: str) -> DataFrame:
+    df = stored(df, name)
+    return sized_broadcast(df, df.count() * 48, BROADCAST_LIMIT)
+
+
 def _verified(spark, shared, texts, sketches, shingle, id_type):
     """Links that hold, enough of them to join all linked sets that share a hub.
 
-    Members of a hub are dealt into blocks of a bounded number of shingles, and each pair of
-    blocks is one group: sets are compared there, and pairs never leave it.
+    Members of a hub are dealt into blocks of a bounded number of shingles, each with the hub
+    itself. Members that their block joins to the hub need no more comparing among each other;
+    only the others of hubs with several blocks meet the members of all blocks. So a group of
+    near copies costs in proportion to its size, and pairs never leave a task.
     """
     sizes = sketches.where("id IS NOT NULL").groupBy(F.col("id").alias("node")).agg(F.max("n").alias("n"))
     sized = stored(shared.join(sizes, "node"), "sized")
-    blocks = sized.groupBy("hub").agg(
-        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("blocks")
-    )
-    dealt = sized.join(blocks, "hub").select(
-        "hub", "node", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = dealt.withColumn("other", other).select(
-        "hub", "node", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    )
-    wanted = stored(paired.groupBy("node").agg(F.count(F.lit(1)).alias("k")).select("node"), "wanted")
-    wanted = sized_broadcast(wanted, wanted.count() * 48, BROADCAST_LIMIT)
-    needed = texts.join(wanted, texts["id"] == wanted["node"], "left_semi")
-    rows = paired.join(needed, paired["node"] == needed["id"]).select("hub", "low", "high", "own", "node", "text")
-
-    def compare(group: pa.Table) -> pa.Table:
-        ids = group["node"].to_pylist()
-        own = group["own"].to_numpy()
-        low, high = group["low"][0].as_py(), group["high"][0].as_py()
-        sets = list(shingle_sets(pa.concat_arrays(group["text"].chunks), shingle))
-        found = list(_links(ids, sets, own == low, own == high))
-        kind = group.schema.field("node").type
-        return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
+    large = _measured(_blocks_of(sized, "blocks").where("blocks > 1"), "large-hubs")
+    dealt = sized.join(large, "hub", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = stored(dealt.select("hub", "node", "n", "blocks", "block"), "dealt")
+
+    def with_texts(rows: DataFrame, name: str) -> DataFrame:
+        wanted = _measured(rows.select(F.col("node").alias("id")).distinct(), name)
+        needed = texts.join(wanted, "id", "left_semi")
+        return rows.join(needed, rows["node"] == needed["id"]).drop("id")
+
+    def sets_of(group: pa.Table) -> tuple[list, list[np.ndarray]]:
+        texts = group["text"].combine_chunks()
+        texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+        return group["node"].to_pylist(), list(shingle_sets(texts, shingle))
 
-    edges = rows.groupBy("hub", "low", "high").applyInArrow(compare, f"a {id_type}, b {id_type}")
+    schema = f"hub {id_type}, a {id_type}, b {id_type}"
+
+    def linked(group: pa.Table, pairs: list[tuple]) -> pa.Table:
+        kind = group.schema.field("node").type
+        a, b = [a for a, _ in pairs], [b for _, b in pairs]
+        hubs = [group["hub"][0].as_py()] * len(pairs)
+        return pa.table({"hub": pa.array(hubs, kind), "a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+    def within(group: pa.Table) -> pa.Table:
+        ids, sets = sets_of(group)
+        hub, everyone = group["hub"][0].as_py(), np.ones(len(ids), bool)
+        found, roots = _links(ids, sets, everyone, everyone, hub)
+        joined = {r for node, r in zip(ids, roots, strict=True) if node == hub}
+        apart = {node for node, r in zip(ids, roots, strict=True) if r not in joined}
+        if group["blocks"][0].as_py() == 1:
+            apart = set()
+        return linked(group, found + [(node, None) for node in sorted(apart)])
+
+    def across(group: pa.Table) -> pa.Table:
+        ids, sets = sets_of(group)
+        asked = np.array(group["asked"].to_pylist())
+        return linked(group, _links(ids, sets, asked, ~asked)[0])
+
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.when(F.col("node") == F.col("hub"), everywhere).otherwise(F.array("block"))
+    rows = with_texts(dealt.select("hub", "node", "blocks", F.explode(own).alias("block")), "members")
+    judged = stored(rows.groupBy("hub", "block").applyInArrow(within, schema), "judged")
+    links = judged.where("b IS NOT NULL").select("a", "b")
+
+    apart = judged.where("b IS NULL").select("hub", F.col("a").alias("node")).distinct()
+    apart = stored(dealt.join(apart, ["hub", "node"], "left_semi"), "apart")
+    parts = _blocks_of(apart, "parts")
+    if parts.isEmpty():
+        return links
+    parts = _measured(parts, "parts")
+    part = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    asking = apart.join(parts, "hub").select(
+        "hub", "node", part.alias("part"), F.explode(everywhere).alias("block"), F.lit(True).alias("asked")
+    )
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    told = dealt.join(parts, "hub").select("hub", "node", every_part, "block", F.lit(False).alias("asked"))
+    rows = with_texts(asking.unionByName(told), "asked")
+    more = rows.groupBy("hub", "part", "block").applyInArrow(across, schema)
     # A document with two texts is one node, and its own links join it.
-    return stored(edges, "links")
+    return links.unionByName(stored(more, "links").select("a", "b"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
