@@ -139,6 +139,8 @@ def test_rows_are_counted_before_and_after_the_units_line(spark, built):
 def test_comments_reach_the_catalog(spark, built):
     got = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE TABLE bronze.aemet_climatologia_raw").collect()}
     assert got["altitud"] == "Altitud de la estación (unidad: m)"
+    got = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE TABLE bronze.noaa_oisst_raw").collect()}
+    assert got["zlev"] == "Profundidad (unidad: m)"
 
 
 def test_gistemp(spark, built):
@@ -272,6 +274,27 @@ def test_history_is_distinct_rows_of_both(spark, built):
     assert keyed.count() == len(STATIONS) + 1
 
 
+def test_only_the_days_own_landing_is_loaded(spark, tmp_path):
+    def put(name, text, file="x.csv"):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / file).write_text(text)
+        return str(tmp_path / name)
+
+    for day_, records in (("2024-11-05", STATIONS[:3]), (RUN, STATIONS)):
+        put(f"stations/ingest_date={day_}", json.dumps(records), "x.json")
+        put(f"episode/ingest_date={day_}", json.dumps(EPISODE), "x.json")
+    inputs = Inputs(
+        gistemp=put("gistemp", GISTEMP), oisst=put("oisst", OISST), tracks=put("tracks", track_file()),
+        stations=str(tmp_path / "stations"), episode=str(tmp_path / "episode"),
+    )
+    runs = refresh(spark, inputs, RUN)
+    assert runs["bronze.aemet_climatologia_raw"].rows == len(STATIONS)
+    assert runs["bronze.aemet_dana_raw"].rows == len(EPISODE)
+    assert "ingest_date" not in spark.table("bronze.aemet_climatologia_raw").columns
+    year = spark.table("gold.resumen_anual").where("anio = 2024").first()
+    assert year["precipitacion_total_espana_mm"] == 186.5
+
+
 def raw_stations(spark, *records):
     fields = [*layouts.STATION_FIELDS, "ciudad_objetivo"]
     schema = ", ".join(f"{f} string" for f in fields)

@@ -45,6 +45,12 @@ def test_save_replaces_and_documents(spark):
     assert table_comment(spark, "saved") == "It's a table"
 
 
+def test_comments_find_their_columns_in_any_case(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "Tmed double, other double")
+    assert save_table(df, "cased", None, comments_from_dictionary(DICTIONARY)) == ["J-D", "sol"]
+    assert described(spark, "cased")["Tmed"] == "Temperatura 'media' (unidad: ºC)"
+
+
 def test_document_a_stored_table(spark):
     spark.createDataFrame([(1.0, 2.0)], "tmed double, other double").write.mode("overwrite").saveAsTable("later")
     missing = document_table(spark, "later", "Después", comments_from_dictionary(DICTIONARY))

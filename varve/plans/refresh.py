@@ -30,6 +30,11 @@ class Inputs:
 
 
 TABLE_COMMENTS = {
+    "bronze.nasa_gistemp_raw": "Anomalías globales por mes y estación, como texto de la fuente",
+    "bronze.noaa_oisst_raw": "Temperatura diaria del mar por celda, como texto de la fuente",
+    "bronze.noaa_ibtracs_raw": "Observaciones de ciclones, todas las columnas como texto",
+    "bronze.aemet_climatologia_raw": "Registros diarios por estación del día de carga, como texto",
+    "bronze.aemet_dana_raw": "Registros del episodio de lluvia del día de carga, como texto",
     "silver.nasa_gistemp_clean": "Anomalías mensuales y estacionales, una columna por mes",
     "silver.noaa_oisst_clean": "Temperatura diaria del mar, sin celdas de tierra",
     "silver.noaa_ibtracs_clean": "Observaciones de ciclones, columnas principales con tipo",
@@ -43,6 +48,36 @@ TABLE_COMMENTS = {
 }
 
 COLUMN_COMMENTS = {
+    "bronze.nasa_gistemp_raw": {
+        "Year": "Año de la fila",
+        "J-D": "Media de enero a diciembre (unidad: °C)",
+        "D-N": "Media de diciembre a noviembre (unidad: °C)",
+        "DJF": "Media del invierno boreal (unidad: °C)",
+        "MAM": "Media de la primavera boreal (unidad: °C)",
+        "JJA": "Media del verano boreal (unidad: °C)",
+        "SON": "Media del otoño boreal (unidad: °C)",
+    },
+    "bronze.noaa_oisst_raw": {
+        "time": "Instante de la medida, en UTC",
+        "zlev": "Profundidad (unidad: m)",
+        "latitude": "Latitud de la celda (unidad: grados norte)",
+        "longitude": "Longitud de la celda (unidad: grados este)",
+        "sst": "Temperatura de la superficie; NaN en tierra (unidad: °C)",
+        "anom": "Diferencia con la media de referencia (unidad: °C)",
+        "err": "Error estimado (unidad: °C)",
+    },
+    "bronze.noaa_ibtracs_raw": {
+        "SID": "Identificador de la tormenta",
+        "SEASON": "Temporada",
+        "BASIN": "Código de la cuenca",
+        "ISO_TIME": "Instante de la observación, en UTC",
+        "LAT": "Latitud del centro (unidad: grados)",
+        "LON": "Longitud del centro (unidad: grados)",
+        "USA_WIND": "Viento sostenido (unidad: nudos)",
+        "USA_PRES": "Presión en el centro (unidad: hPa)",
+        "USA_SSHS": "Categoría, de -1 a 5",
+        "DIST2LAND": "Distancia a la costa (unidad: km)",
+    },
     "silver.nasa_gistemp_clean": {
         "anomalia_media_anual": "Media de enero a diciembre (unidad: °C)",
     },
@@ -65,6 +100,7 @@ COLUMN_COMMENTS = {
 
 
 CORRUPT = "_corrupt_record"
+LANDING_DAY = "ingest_date"
 
 
 @dataclass(frozen=True)
@@ -86,6 +122,7 @@ def refresh(
     failed run can start again at any table. Per table the result holds the rows written, the
     rows read before a units line was dropped, the documented names that are no columns, and the
     texts that were no JSON record, which are left out; rows are counted by the writes themselves.
+    Of records landed by day (folders ``ingest_date=…``) only those of ``run_date`` are read.
     """
     if run_date is None:  # one date for the whole run, even past midnight
         run_date = spark.range(1).select(F.current_date()).first()[0]
@@ -113,6 +150,12 @@ def refresh(
     def stamped(df: DataFrame) -> DataFrame:
         return stamp(df, run_date=run_date)
 
+    def records(path: str, schema: str) -> DataFrame:
+        read = read_records(spark, path, schema, corrupt=CORRUPT)
+        if LANDING_DAY not in read.columns:
+            return read
+        return read.where(F.col(LANDING_DAY) == F.lit(str(run_date)).cast("date")).drop(LANDING_DAY)
+
     gistemp_raw = store(
         "bronze.nasa_gistemp_raw",
         stamped(read_embedded_table(spark, inputs.gistemp, layouts.GISTEMP_COLUMNS)),
@@ -131,12 +174,12 @@ def refresh(
     dictionary = comments_from_dictionary(inputs.dictionary)
     stations_raw = store(
         "bronze.aemet_climatologia_raw",
-        read_records(spark, inputs.stations, f"{fields}, ciudad_objetivo STRING", corrupt=CORRUPT),
+        records(inputs.stations, f"{fields}, ciudad_objetivo STRING"),
         dictionary,
     )
     episode_raw = store(
         "bronze.aemet_dana_raw",
-        read_records(spark, inputs.episode, fields, corrupt=CORRUPT),
+        records(inputs.episode, fields),
         dictionary,
     )
 

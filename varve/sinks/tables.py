@@ -24,7 +24,7 @@ def _literal(text: str) -> str:
 
 
 def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
 def save_table(
@@ -37,15 +37,16 @@ def save_table(
 ) -> list[str]:
     """Write ``df`` as the table ``name``, by default replacing it, comments included.
 
-    Returns the commented names that are not columns of ``df``; they are skipped. Column
-    comments travel with the schema, so they cost no further catalog call. ``path`` makes the
-    table external.
+    Returns the commented names that are not columns of ``df``, in any case; they are skipped.
+    Column comments travel with the schema, so they cost no further catalog call. ``path`` makes
+    the table external.
     """
     column_comments = column_comments or {}
+    texts = {name.lower(): text for name, text in column_comments.items()}
     for column in df.columns:
-        if column in column_comments:
+        if column.lower() in texts:
             # A name may hold dots or dashes, so it is replaced in place rather than parsed.
-            metadata = {**df.schema[column].metadata, "comment": column_comments[column]}
+            metadata = {**df.schema[column].metadata, "comment": texts[column.lower()]}
             df = df.withMetadata(column, metadata)
     writer = df.write.mode(mode)
     if path is not None:
@@ -53,7 +54,8 @@ def save_table(
     writer.saveAsTable(name)
     if comment is not None:
         df.sparkSession.sql(f"COMMENT ON TABLE {_quoted(name)} IS {_literal(comment)}")
-    return [c for c in column_comments if c not in df.columns]
+    columns = {c.lower() for c in df.columns}
+    return [c for c in column_comments if c.lower() not in columns]
 
 
 def document_table(
