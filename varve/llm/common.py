@@ -7,6 +7,8 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,13 +66,16 @@ def broadcast_file(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
-def portions_of(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` with about ``most`` characters, one text at least."""
+def portions_of(texts: pa.Array, most: int) -> Iterator[list[str]]:
+    """The texts of a batch (no NULLs), in runs of about ``most`` UTF-8 bytes, one text at least.
+
+    Only one run is made into strings at a time, since a batch of long texts is much larger.
+    """
     first, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield first, i
+    for i, length in enumerate(pc.binary_length(texts).to_pylist()):
+        if size and size + length > most:
+            yield texts.slice(first, i - first).to_pylist()
             first, size = i, 0
-        size += len(text)
-    if texts:
-        yield first, len(texts)
+        size += length
+    if len(texts):
+        yield texts.slice(first).to_pylist()

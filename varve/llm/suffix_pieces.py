@@ -24,7 +24,7 @@ from varve.llm.common import broadcast_file, portions_of, ship_package
 
 SPACE = "▁"
 WORD_LIMIT = 300_000
-BATCH_CHARS = 1_000_000
+BATCH_BYTES = 1_000_000
 WORDS_AT_ONCE = 10_000
 PAIR_LIMIT = 2_000_000
 
@@ -312,17 +312,18 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces_for(data.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for low, high in portions_of(texts, BATCH_CHARS):
-                flat, sizes = pieces.encode(texts[low:high])
+            done = 0
+            for texts in portions_of(batch.column(1), BATCH_BYTES):
+                flat, sizes = pieces.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 columns = [
-                    batch.column(0).slice(low, high - low),
+                    batch.column(0).slice(done, len(texts)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     pa.array(sizes),
                 ]
                 if with_text:
                     columns.append(pieces.decode_all(flat, sizes))
+                done += len(texts)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(

@@ -30,7 +30,7 @@ from varve.llm.common import broadcast_file, portions_of, ship_package
 
 STATE_LIMIT = 100_000
 WORD_LIMIT = 500_000
-BATCH_CHARS = 2_000_000
+BATCH_BYTES = 2_000_000
 OVER = 2048
 END = "</w>"
 # The white space of Unicode, as the inside of a character class.
@@ -207,8 +207,7 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter_for(data.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            portions = [counter.counts(texts[a:b]) for a, b in portions_of(texts, BATCH_CHARS)]
+            portions = [counter.counts(texts) for texts in portions_of(batch.column(1), BATCH_BYTES)]
             counts = np.concatenate([np.zeros(0, np.int64), *portions])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(counts), pa.array(counts > over)],

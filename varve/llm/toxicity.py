@@ -12,7 +12,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +33,7 @@ FEATURES = 1 << 20
 LEAST_ODDS = 1.5  # a seed's log odds, and how far beyond chance its count must be
 LEAST_SPREADS = 4
 RATE = 0.02
-BATCH_CHARS = 1_000_000
+BATCH_BYTES = 1_000_000
 
 
 def _features(word):
@@ -224,16 +224,14 @@ def scorer(spark: SparkSession, sample: list[tuple[str, int]]):
     ship_package(spark)
     model = spark.sparkContext.broadcast(train([t for t, _ in sample], [y for _, y in sample]))
 
-    @F.pandas_udf("double")
-    def scores_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores_of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            texts = part.tolist()
-            scores = np.zeros(len(texts))
-            if not model.value.empty:
-                for low, high in portions_of(texts, BATCH_CHARS):
-                    best = net.score_texts(model.value, texts[low:high])
-                    scores[low:high] = net.sigmoid(model.value.scale * best + model.value.shift)
-            yield pd.Series(scores)
+            scores = [np.zeros(len(part) if model.value.empty else 0)]
+            for texts in () if model.value.empty else portions_of(part, BATCH_BYTES):
+                best = net.score_texts(model.value, texts)
+                scores.append(net.sigmoid(model.value.scale * best + model.value.shift))
+            yield pa.array(np.concatenate(scores))
 
     return scores_of
 
