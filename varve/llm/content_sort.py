@@ -60,11 +60,13 @@ def content_sort(
         F.length("text").cast("long").alias("len"),
         F.regexp_replace("text", WHITE_SPACE, "").alias("norm"),
     )
-    # Hex of fixed width keeps the order of the pieces within one comparable text.
+    # Hex of fixed width keeps the order of the pieces within one comparable text. Ranges are sorted
+    # by the same pieces (a hash as a number orders otherwise): a group that is cut must lie at an end.
+    content = F.concat(
+        F.substring("norm", 1, PREFIX), F.lit("\0"), F.lpad(F.hex(F.xxhash64("norm")), 16, "0")
+    )
     key = F.concat(
-        F.substring("norm", 1, PREFIX),
-        F.lit("\0"),
-        F.lpad(F.hex(F.xxhash64("norm")), 16, "0"),
+        content,
         F.lpad(F.hex(F.xxhash64("id", F.lit("salt"))), 16, "0"),
     )
     ranges = RANGES_PER_PARTITION * shuffle_partitions(spark)
@@ -74,8 +76,8 @@ def content_sort(
     sample = sorted(r[0] for r in some.select(key).limit(2 * wanted).collect())
     splitters = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges) if sample})
 
-    order = [F.xxhash64("norm"), F.col("norm"), F.col("len").desc(), F.col("id").asc_nulls_last()]
-    by_content = Window.partitionBy("range").orderBy(F.substring("norm", 1, PREFIX), *order)
+    order = [content, F.col("norm"), F.col("len").desc(), F.col("id").asc_nulls_last()]
+    by_content = Window.partitionBy("range").orderBy(*order)
     one = F.lit(1)
     at_end = F.lag(one).over(by_content).isNull() | F.lead(one).over(by_content).isNull()
     neighbours = keyed.withColumn("range", _range_of(key, splitters)).select(
