@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -240,6 +241,31 @@ def test_repeated_spans(docs, no_docs):
     assert len(left[8]) < 300 and len(left[13]) < len(text[13]) - 200
 
 
+def test_holders_of_different_extent(spark):
+    """Every passage survives once, also where first holders differ within a run of shared chunks."""
+    x, y, z = (prose(n, seed) for n, seed in ((90, 301), (80, 302), (90, 303)))
+    chance = z.encode()[: gear_chunks.cut_points(np.frombuffer(z.encode(), np.uint8))[1]].decode()
+    texts = {
+        1: f"{prose(40, 311)} {x} {prose(40, 312)}",
+        2: chance,  # a few chunks of z, less than a passage
+        5: f"{prose(40, 313)} {x} {y} {prose(40, 314)}",
+        6: z,
+        7: z,
+        9: f"{prose(40, 315)} {x} {y} {prose(40, 316)}",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    spans = gear_chunks.repeated_spans(df)
+    rows = spans.collect()
+    assert {(r["doc_id"], r["first_id"], r["kept"]) for r in rows} == {
+        (1, 1, True), (5, 1, False), (5, 5, True), (9, 1, False), (9, 5, False), (6, 6, True), (7, 6, False),
+    }
+    left = {r["doc_id"]: r["text"] for r in gear_chunks.remove_spans(df, spans).collect()}
+    assert left[1] == texts[1] and left[2] == chance and left[6] == z
+    middle = {name: " ".join(p.split()[20:-20]) for name, p in (("x", x), ("y", y), ("z", z))}
+    for name, holder in (("x", 1), ("y", 5), ("z", 6)):
+        assert [i for i, t in left.items() if middle[name] in t] == [holder]
+
+
 def test_chunks_survive_insertions_and_cover_texts():
     import numpy as np
 

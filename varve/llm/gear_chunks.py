@@ -13,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.llm.common import ship_package
@@ -116,6 +117,58 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return rows.mapInArrow(run, schema)
 
 
+def _totals(groups: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """For every row the words of its group; ``groups`` are numbered from 0."""
+    return np.bincount(groups, words)[groups]
+
+
+def _holders_apart(pieces: np.ndarray, firsts: np.ndarray, words: np.ndarray, min_words: int) -> np.ndarray:
+    """``pieces`` broken where the first holder changes, but into parts of ``min_words`` words.
+
+    A shorter part goes to the long one before it, or else to the next, so that a chunk that
+    stands elsewhere by chance breaks nothing.
+    """
+    parts = np.cumsum(np.r_[True, (np.diff(pieces) != 0) | (np.diff(firsts) != 0)]) - 1
+    long_ = _totals(parts, words) >= min_words
+    head = np.r_[True, np.diff(parts) != 0] & long_
+    seen = np.cumsum(head)
+    opens = np.flatnonzero(np.r_[True, np.diff(pieces) != 0])
+    before = np.repeat(seen[opens] - head[opens], np.diff(np.r_[opens, len(pieces)]))
+    within = np.maximum(seen - before, 1)  # what stands before a piece's first long part joins it
+    return np.cumsum(np.r_[True, (np.diff(pieces) != 0) | (np.diff(within) != 0)]) - 1
+
+
+def _spans(rows: pa.Table, min_words: int) -> pa.RecordBatch:
+    """The spans of some documents from all their shared chunks, ordered by id and start."""
+    ids, firsts = rows.column("id").combine_chunks(), rows.column("first_id").combine_chunks()
+    codes = firsts.dictionary_encode().indices.to_numpy()
+    start, size, words = (rows.column(c).to_numpy().astype(np.int64) for c in ("start", "n_bytes", "n_words"))
+    own = rows.column("own").to_numpy()
+    other_id = np.r_[True, pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)]
+    gap = other_id | np.r_[True, start[1:] != start[:-1] + size[:-1]]
+    stretches = np.cumsum(gap | np.r_[True, own[1:] != own[:-1]]) - 1
+    kept = own | (_totals(stretches, words) < min_words)
+    pieces = np.cumsum(gap | np.r_[True, kept[1:] != kept[:-1]]) - 1
+    parts = _holders_apart(pieces, np.where(kept, -1, codes), words, min_words)
+    head = np.flatnonzero(np.r_[True, np.diff(parts) != 0])
+    n_words = np.add.reduceat(words, head)
+    # A part's first holder is the one of most of its words.
+    pairs, where, of = np.unique(parts * (int(codes.max()) + 1) + codes, return_index=True, return_inverse=True)
+    weight = np.bincount(of, words)
+    order = np.lexsort((where, -weight, parts[where]))
+    lead = where[order[np.r_[True, np.diff(parts[where][order]) != 0]]]
+    holder = np.where(kept[head], head, lead)
+    wanted = n_words >= min_words
+    head, holder, n_words = head[wanted], holder[wanted], n_words[wanted]
+    n_bytes = np.add.reduceat(size, np.flatnonzero(np.r_[True, np.diff(parts) != 0]))[wanted]
+    first_id = pc.if_else(pa.array(kept[head]), ids.take(pa.array(head)), firsts.take(pa.array(holder)))
+    numbers = [pa.array(x).cast(pa.int32()) for x in (start[head], n_bytes, n_words)]
+    return pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(head)), *numbers, first_id, pa.array(kept[head])],
+        names=["id", "start", "n_bytes", "n_words", "first_id", "kept"],
+    )
+
+
 def repeated_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -126,11 +179,15 @@ def repeated_spans(
     ``n_bytes`` (in the UTF-8 text), ``n_words``, ``first_id``, ``kept``.
 
     A span is a run of neighbouring chunks that each stand in two documents at least, with
-    ``min_words`` words or more. ``first_id`` is the smallest id that holds one of them; ``kept``
-    tells whether this document is the first holder of all of them, so that removing the spans
-    that are not kept leaves every passage in one place. Repeats within one document alone are no
-    span. Rows with the same id are one document; rows without an id are left out, as are NULL and
-    empty texts. An empty table gives no rows.
+    ``min_words`` words or more. It is ``kept`` where this document is the first holder (the
+    smallest id) of its chunks, and not where others are; a run of both kinds is broken between
+    them. A stretch of less than ``min_words`` words whose first holders are others is chance and
+    stays with the kept chunks around it. So no chunk is ever cut from its first holder, and
+    removing the spans that are not kept leaves every passage in one place. ``first_id`` is the
+    first holder of the span's chunks; neighbouring spans of different first holders are rows of
+    their own, and chunks too few for one go to the span beside them. Repeats within one document
+    alone are no span. Rows with the same id are one document; rows without an id are left out, as
+    are NULL and empty texts. An empty table gives no rows.
     """
     found = chunks(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
     holders = (
@@ -139,21 +196,28 @@ def repeated_spans(
         .where("first_id != last_id")
         .select("digest", "first_id")
     )
-    shared = found.join(holders, "digest")
-    by_place = Window.partitionBy("id").orderBy("start", "nth")
-    gap = F.col("start") != F.lag(F.col("start") + F.col("n_bytes")).over(by_place)
-    runs = shared.withColumn("gap", F.coalesce(gap, F.lit(True)).cast("int"))
-    runs = runs.withColumn("run", F.sum("gap").over(by_place))
-    spans = runs.groupBy("id", "run").agg(
-        F.min("start").alias("start"),
-        F.sum("n_bytes").cast("int").alias("n_bytes"),
-        F.sum("n_words").cast("int").alias("n_words"),
-        F.min("first_id").alias("first_id"),
-        F.bool_and(F.col("first_id") == F.col("id")).alias("kept"),
-    )
-    return spans.where(F.col("n_words") >= min_words).select(
-        F.col("id").alias(id_col), "start", "n_bytes", "n_words", "first_id", "kept"
-    )
+    own = (F.col("first_id") == F.col("id")).alias("own")
+    shared = found.join(holders, "digest").select("id", "nth", "start", "n_bytes", "n_words", "first_id", own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the last document's chunks may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([rest, rows]) if rest else rows
+            ids = rows.column("id").combine_chunks()
+            last = pc.index(pc.equal(ids, ids[-1]), True).as_py()
+            if last:
+                yield _spans(rows.slice(0, last), min_words)
+            rest = rows.slice(last)
+        if rest:
+            yield _spans(rest, min_words)
+
+    id_type = found.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, start int, n_bytes int, n_words int, first_id {id_type}, kept boolean"
+    spans = shared.repartition("id").sortWithinPartitions("id", "start", "nth").mapInArrow(run, schema)
+    return spans.withColumnRenamed("id", id_col)
 
 
 def remove_spans(
