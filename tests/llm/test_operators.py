@@ -266,6 +266,33 @@ def test_holders_of_different_extent(spark):
         assert [i for i, t in left.items() if middle[name] in t] == [holder]
 
 
+def test_passages_of_51_short_words_are_found(spark):
+    """Passages just beyond 50 words, of words of 3 and 4 letters and in a script without spaces."""
+    rng = np.random.default_rng(4)
+
+    def text(letters, n):
+        if not letters:
+            return "".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 2 * n))
+        sizes = np.maximum(1, rng.poisson(letters, n))
+        return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, size)) for size in sizes)
+
+    rows, where = [], {}
+    for i in range(300):
+        letters = (3, 4, 0)[i % 3]
+        passage, between = text(letters, 51), " " if letters else ""
+        for j in (2 * i, 2 * i + 1):
+            before = text(letters, 30 + j % 7)
+            rows.append((j, between.join([before, passage, text(letters, 30)])))
+            where[j] = (len((before + between).encode()), len(passage.encode()))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in gear_chunks.repeated_spans(df).collect()}
+    assert found.keys() == where.keys()
+    for j, r in found.items():
+        start, size = where[j]
+        assert start - 3 <= r["start"] and r["start"] + r["n_bytes"] <= start + size + 3
+        assert r["n_bytes"] > size // 2 and r["first_id"] == j - j % 2 and r["kept"] == (j % 2 == 0)
+
+
 def test_chunks_survive_insertions_and_cover_texts():
     import numpy as np
 

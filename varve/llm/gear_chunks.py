@@ -1,8 +1,9 @@
 """Passages that repeat across documents, by content-defined chunking.
 
-A gear hash rolls over the UTF-8 bytes of each text; where it meets a mask, a chunk may end. The
-cut depends on the last 32 bytes only, so text inserted before a passage moves its chunks but does
-not change them. Chunks are matched by digest: the grouping keeps two ids per digest, so a chunk
+A gear hash rolls over the UTF-8 bytes of each text; where it is smallest among its neighbours, a
+chunk ends. The cut depends on the 19 bytes before it and the 11 behind only, so text inserted
+before a passage moves its chunks but does not change them, and no chunk is very long by chance: of
+a passage, whole chunks hold all but a few words at its ends. Chunks are matched by digest: the grouping keeps two ids per digest, so a chunk
 that stands in a third of all documents is no heavy task. Neighbouring chunks that other documents
 share as well are put together to spans; short spans are chance and are left out.
 """
@@ -20,37 +21,52 @@ from pyspark.sql import functions as F
 from varve.llm.common import ship_package
 from varve.llm.part_enum import mix
 
-WINDOW = 32  # bytes that a 32-bit gear hash depends on
-MASK_BITS = 4
-NEAREST = 12  # a cut this near after another possible one does not count
+WINDOW = 8  # bytes that a gear hash of 32 bits, 4 a byte, depends on
+REACH = 11  # a cut's hash is the smallest within so many bytes on either side
 LONGEST = 256
-MIN_WORDS = 30
+MIN_WORDS = 26  # in whole chunks; a passage is longer by what its ends lose
 BATCH_BYTES = 4_000_000
 
 _GEAR = (mix(np.arange(256, dtype=np.uint64) + np.uint64(1000)) >> np.uint64(32)).astype(np.uint32)
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(5000))
 _BASE = 0x5851F42D4C957F2D
+_NO_CUT = 0xFFFFFFFF
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
     """The gear hash after each byte; the first ``WINDOW`` - 1 lack some of their past."""
     h, reach = _GEAR[data], 1
     while reach < WINDOW:
-        h[reach:] = h[reach:] + (h[:-reach] << np.uint32(reach))
+        h[reach:] = h[reach:] + (h[:-reach] << np.uint32(32 // WINDOW * reach))
         reach *= 2
     return h
 
 
+def _smallest_of(h: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each ``width`` neighbours, by the first of them."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        h = np.minimum(h[:-step], h[step:])
+        have += step
+    return h
+
+
 def cut_points(data: np.ndarray) -> np.ndarray:
     """Offsets at which chunks end, the last one at the end of ``data``; none within a letter."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    ends = np.flatnonzero(gear_hashes(data) >> np.uint32(32 - MASK_BITS) == 0) + 1
-    ends = ends[(ends >= WINDOW) & (ends < n)]
-    ends = ends[(data[ends] & 0xC0) != 0x80]
-    if len(ends):
-        ends = ends[np.r_[True, np.diff(ends) > NEAREST]]
+    ends = np.zeros(0, np.int64)
+    if n > WINDOW + 2 * REACH:
+        # Hashes by the offset behind them, where a chunk could end; 0 to n - 1 are at hand.
+        h = np.r_[np.uint32(_NO_CUT), gear_hashes(data[:-1])]
+        h[(data & 0xC0) == 0x80] = _NO_CUT
+        h = h[WINDOW:]
+        least = _smallest_of(h, REACH)
+        inner = h[REACH : len(h) - REACH]
+        here = (inner < least[: len(inner)]) & (inner <= least[REACH + 1 :])
+        ends = np.flatnonzero(here & (inner != _NO_CUT)) + WINDOW + REACH
     edges = np.r_[0, ends, n]
     gaps = np.diff(edges)
     if gaps.max() <= LONGEST:
@@ -67,8 +83,26 @@ def cut_points(data: np.ndarray) -> np.ndarray:
     return np.array(cuts, np.int64)
 
 
+def word_marks(data: np.ndarray) -> np.ndarray:
+    """For each byte the quarters of words that it adds: four where white space ends a word.
+
+    In scripts without spaces two letters (Han, kana) or four (Thai, Lao, Burmese, Khmer) make a word.
+    """
+    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    marks = np.zeros(len(data), np.int64)
+    marks[1:] = 4 * (space[1:] & ~space[:-1])
+    if len(data) and data.max() >= 0xE0:
+        second = np.r_[data[1:], np.uint8(0)]
+        marks[((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xF0) & (second >= 0xA0))] = 2
+        thai = (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+        burmese = (data == 0xE1) & (second >= 0x80) & (second <= 0x82)
+        khmer = (data == 0xE1) & (second >= 0x9E) & (second <= 0x9F)
+        marks[thai | burmese | khmer] = 1
+    return marks
+
+
 def chunk_digests(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit digest of every chunk, and the number of white-space bytes in it."""
+    """The 64-bit digest of every chunk, and the number of words that end in it."""
     starts = np.r_[0, ends[:-1]]
     lengths = ends - starts
     # Each chunk is a polynomial in its own offsets, so equal chunks agree wherever they stand.
@@ -77,8 +111,8 @@ def chunk_digests(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
     powers[0] = 1
     powers = np.cumprod(powers, dtype=np.uint64)
     digests = np.add.reduceat(_BYTE[data] * powers[place], starts)
-    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    return mix(digests ^ mix(lengths.astype(np.uint64))), np.add.reduceat(space.astype(np.int64), starts)
+    words = np.diff(np.cumsum(word_marks(data))[ends - 1] // 4, prepend=0)
+    return mix(digests ^ mix(lengths.astype(np.uint64))), words
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,10 +131,10 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 data = np.frombuffer(text.as_buffer(), np.uint8)
                 if len(data):
                     ends = cut_points(data)
-                    digests, spaces = chunk_digests(data, ends)
+                    digests, words = chunk_digests(data, ends)
                     starts = np.r_[0, ends[:-1]]
                     nth = np.arange(len(ends))
-                    rows.append((np.full(len(ends), i), nth, starts, ends - starts, spaces, digests.view(np.int64)))
+                    rows.append((np.full(len(ends), i), nth, starts, ends - starts, words, digests.view(np.int64)))
                     size += len(data)
                 if rows and (size >= BATCH_BYTES or i == batch.num_rows - 1):
                     owner, *rest = (np.concatenate(c) for c in zip(*rows, strict=True))
@@ -179,7 +213,7 @@ def repeated_spans(
     ``n_bytes`` (in the UTF-8 text), ``n_words``, ``first_id``, ``kept``.
 
     A span is a run of neighbouring chunks that each stand in two documents at least, with
-    ``min_words`` words or more. It is ``kept`` where this document is the first holder (the
+    ``min_words`` words or more, which any shared passage of 51 words has but by rare chance. It is ``kept`` where this document is the first holder (the
     smallest id) of its chunks, and not where others are; a run of both kinds is broken between
     them. A stretch of less than ``min_words`` words whose first holders are others is chance and
     stays with the kept chunks around it. So no chunk is ever cut from its first holder, and
