@@ -454,6 +454,28 @@ def test_main_text(spark):
     assert tag_paths.extract_main_text(df.where("false")).count() == 0
 
 
+def test_whole_articles():
+    """Unequal sections, lists, quotes, code and formulas lose none of an article's text."""
+    long_ = "A long sentence, with a comma; and more of it. " * 40
+    article = f"<h1>Title</h1><p>Intro, short.</p><section><p>{long_}</p></section><section><p>Rest.</p></section>"
+    cases = [
+        f"<article>{article}</article>",
+        f"<main><div>{article}</div><p>End.</p></main>",
+        f"<article><h1>Title</h1><ul><li>One.</li><li>{long_}</li></ul><p>Rest.</p></article>",
+        f"<div><h1>Title</h1><ul><li>One.</li><li>{long_}</li></ul><p>Rest.</p></div>",
+        f"<div><h1>Title</h1><p>Intro.</p><blockquote><p>{long_}</p></blockquote><p>Rest.</p></div>",
+        f"<div><h1>Title</h1><pre>{long_}</pre><p>Rest.</p></div>",
+        f"<div><h1>Title</h1><dl><dt>Term</dt><dd>{long_}</dd></dl><p>Rest.</p></div>",
+        f"<div>{article}</div>",
+        f"<article><h1>Title</h1><p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, so.</p><p>{long_}</p></article>",
+    ]
+    for body in cases:
+        page = f"<html><body><nav><a>Home</a></nav>{body}<footer>Rights, all.</footer></body></html>"
+        # Blocks part words; a formula stands inside its sentence.
+        plain = re.sub("<[^>]*>", " ", re.sub("</?(?:math|m[ion])>", "", body))
+        assert tag_paths.main_text(page) == " ".join(plain.split())
+
+
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 

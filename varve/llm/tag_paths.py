@@ -3,9 +3,9 @@
 Every text leaf has a path of tags from the root. Leaves with the same path are taken together:
 their text length and their punctuation, each per leaf, are the path's ratios. The two sequences
 of ratios, in page order, are smoothed and fused by their product; paths above a threshold hold
-content. The smallest element that holds most of the content's text is the article, and all its
-text belongs to it, also headings and short paragraphs, but for parts that name themselves
-otherwise (menus, notices, comments).
+content. The article or main element around most of the content's text is the article; on a page
+without, the smallest container that holds all content. All its text belongs to it, also headings
+and short paragraphs, but for parts that name themselves otherwise (menus, notices, comments).
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from varve.llm.common import ship_package
 
 SMOOTHING = 1.0  # standard deviation, in leaves
 THRESHOLD = 0.5  # of the mean fused ratio
-SHARE = 0.8  # of the content's text that the article must hold
+SHARE = 0.8  # of the content's text that an article or main element must hold
 
 # Elements by what HTML says about them.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
 SKIPPED = RAW | {
     "head", "nav", "header", "footer", "aside", "form", "button", "select", "option", "label",
-    "fieldset", "menu", "dialog", "svg", "math", "canvas", "object", "audio", "video", "map",
+    "fieldset", "menu", "dialog", "svg", "canvas", "object", "audio", "video", "map",
 }
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
@@ -39,7 +39,12 @@ INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em",
     "font", "i", "ins", "kbd", "mark", "q", "ruby", "rb", "rp", "rt", "s", "samp", "small", "span",
     "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr",
+    "math", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover",
+    "mpadded", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup",
+    "mtext", "munder", "munderover", "semantics",
 }
+# Elements that may hold a whole article; others are parts of one.
+CONTAINERS = {"", "html", "body", "main", "article", "div"}
 # Words in a class, id or role that say a part is no article text.
 NAMED_OTHERWISE = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb",
@@ -181,19 +186,26 @@ def main_text(page: str) -> str:
     fused = _smooth(text_ratio) * _smooth(mark_ratio)
     content = fused >= THRESHOLD * fused.mean()
 
-    # The smallest element with most of the content's text; elements hold their ancestors' text.
+    # Elements hold their ancestors' text.
     held: dict[_Node, float] = {}
     for (node, text), is_content in zip(found, content, strict=True):
         while is_content and node:
             held[node] = held.get(node, 0.0) + len(text)
             node = node.parent
     total = float(length[content].sum())
-    article = max(
-        (n for n, size in held.items() if size >= SHARE * total),
-        key=lambda n: n.path.count("/"),
-    )
-    if article.tag in ("p", "li", "td", "blockquote") and article.parent:
-        article = article.parent
+
+    def smallest(share: float) -> _Node:
+        return max((n for n, size in held.items() if size >= share), key=lambda n: n.path.count("/"))
+
+    article, up = None, smallest(SHARE * total)
+    while up:
+        if up.tag in ("article", "main"):
+            article = up
+        up = up.parent
+    if not article:
+        article = smallest(total)
+        while article.tag not in CONTAINERS:
+            article = article.parent
     inside = []
     for node, text in found:
         up = node
