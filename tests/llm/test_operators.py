@@ -510,6 +510,21 @@ def test_url_verdicts(spark):
     assert url_rules.judge_urls(pages.where("false"), labels, RULES).count() == 0
 
 
+def test_url_rules_at_any_size_and_in_the_whole_url(spark):
+    """A bad host is blocked in a small and a large table; so are bad queries and fragments."""
+    rows = [(i, f"http://spam.farm.biz/p/{i}") for i in range(30)]
+    rows += [(100 + i, f"http://a{i % 7}.org/{i}?id={i}&utm_source=feed") for i in range(40)]
+    rows += [(200 + i, f"http://a{i % 7}.org/{i}#go/offer") for i in range(40)]
+    rows += [(300 + i, f"http://a{i % 7}.org/{i}") for i in range(500)]
+    few = spark.createDataFrame(rows, "page_id long, url string")
+    more = spark.range(1000, 81_000).selectExpr("id AS page_id", "concat('http://b', id % 97, '.org/', id) AS url")
+    for pages in (few, few.unionByName(more)):
+        labels = pages.selectExpr("page_id AS doc_id", "int(page_id >= 300) AS quality", "0 AS toxic")
+        got = url_rules.judge_urls(pages, labels, []).where("page_id < 1000").collect()
+        assert len(got) == len(rows)
+        assert all((r["verdict"] == "block") == (r["page_id"] < 300) for r in got)
+
+
 # ---- shards
 
 

@@ -2,7 +2,7 @@
 
 Fixed rules name a host and a path prefix; the longest that fits decides. Every other URL is
 judged by rules "these tokens, hence a bad label" that Spark's FP-growth mines from labelled URLs
-and that pass a support and a confidence. They are matched by an inverted index: a rule is filed
+and that pass a support, a number of rows whatever the table's size, and a confidence. They are matched by an inverted index: a rule is filed
 under its rarest token, URLs are joined to it by token, and the rest of its tokens is checked.
 """
 
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from varve.llm.common import ascii_lower, sized_broadcast, stored
 
 MIN_SUPPORT_ROWS = 20
-MIN_SUPPORT = 0.0005
 MIN_CONFIDENCE = 0.6
 BAD = "label:bad"
 BROADCAST_LIMIT = 64 << 20
@@ -29,8 +28,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def url_tokens(host: Column, path: Column) -> Column:
-    """Distinct tokens: the host's labels, its parent domains, and the path's parts."""
+def url_tail(url: Column) -> Column:
+    """Query and fragment of a URL with their ``?`` and ``#``; empty without ``://``."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^?#]*(.*)$", 1)
+
+
+def url_tokens(host: Column, path: Column, tail: Column) -> Column:
+    """Distinct tokens: the host's labels, its parent domains, the path's parts, the query's
+    parameters (names, and names with their values), and the fragment's parts."""
     labels = F.split(host, r"[.\-]")
     names = F.split(host, r"\.")
     parents = F.transform(
@@ -38,28 +43,41 @@ def url_tokens(host: Column, path: Column) -> Column:
         lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(names, i, F.size(names)), ".")),
     )
     parts = F.split(ascii_lower(path), r"[/\-_.]+")
+    asked = F.regexp_extract(ascii_lower(tail), r"(?s)^\?([^#]*)", 1)
+    parameters = F.filter(F.split(asked, r"[&;]"), lambda x: x != "")
+    fragment = F.split(F.regexp_extract(ascii_lower(tail), r"(?s)#(.*)$", 1), r"[#/\-_.&=!]+")
     tagged = F.concat(
         F.transform(labels, lambda x: F.concat(F.lit("host:"), x)),
         parents,
         F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.concat(F.lit("path:"), x)),
+        F.transform(parameters, lambda x: F.concat(F.lit("query:"), x)),
+        F.transform(parameters, lambda x: F.concat(F.lit("parameter:"), F.substring_index(x, "=", 1))),
+        F.transform(F.filter(fragment, lambda x: x != ""), lambda x: F.concat(F.lit("fragment:"), x)),
     )
     return F.array_distinct(F.filter(tagged, lambda x: ~F.endswith(x, F.lit(":"))))
 
 
 def mine_rules(
     labelled: DataFrame,
-    min_support: float = MIN_SUPPORT,
     min_support_rows: int = MIN_SUPPORT_ROWS,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """(rule, confidence): token sets that imply a bad label, from (tokens, bad) rows.
 
-    A rule needs ``min_support`` of the rows and ``min_support_rows`` of them at least. Rules
-    that contain a shorter rule with the same or a higher confidence are pruned. Rows without
-    tokens or with a NULL label do not count; without rows there are no rules.
+    A rule needs ``min_support_rows`` bad rows. Rules that contain a shorter rule with the same or
+    a higher confidence are pruned. Rows without tokens or with a NULL label do not count; without
+    rows there are no rules.
     """
     rows = labelled.where("bad IS NOT NULL AND size(tokens) > 0")
-    baskets = rows.select(
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"), "labelled-urls")
+    # A token in fewer bad rows than a rule needs is in no rule; without it the mining stays cheap.
+    tokens = rows.select("row", "bad", F.explode("tokens").alias("t"))
+    useful = tokens.where("bad").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support_rows)
+    useful = stored(useful.select("t"), "useful-tokens")
+    size = useful.agg(F.sum(F.octet_length("t") + 64)).first()[0]
+    left = tokens.join(sized_broadcast(useful, size, BROADCAST_LIMIT), "t").groupBy("row")
+    left = left.agg(F.collect_list("t").alias("tokens"), F.first("bad").alias("bad"))
+    baskets = left.select(
         F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")
     )
     baskets = stored(baskets, "baskets")
@@ -67,7 +85,7 @@ def mine_rules(
     spark = labelled.sparkSession
     if n == 0:
         return spark.createDataFrame([], "rule array<string>, confidence double")
-    support = min(1.0, max(min_support, min_support_rows / n))
+    support = (min_support_rows - 0.5) / n  # Spark rounds up to rows
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     found = model.associationRules.where(F.col("consequent")[0] == BAD).select(
         F.array_sort("antecedent").alias("rule"), "confidence"
@@ -129,22 +147,23 @@ def judge_urls(
     is judged. Empty tables give no rules or no rows.
     """
     host, path = host_and_path(F.col(url_col))
-    urls = pages.select(F.col(id_col).alias("page"), host.alias("host"), path.alias("path"))
+    tail = url_tail(F.col(url_col)).alias("tail")
+    urls = pages.select(F.col(id_col).alias("page"), host.alias("host"), path.alias("path"), tail)
     bad = labels.select(
         F.col(label_id_col).alias("page"),
         ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"),
     )
     bad = bad.groupBy("page").agg(F.max("bad").alias("bad"))
-    tokens = url_tokens(F.col("host"), F.col("path")).alias("tokens")
+    tokens = url_tokens(F.col("host"), F.col("path"), F.col("tail")).alias("tokens")
     labelled = urls.select("page", tokens).join(bad, "page").select("tokens", "bad")
     mined = mine_rules(labelled, min_confidence=min_confidence)
 
-    distinct = urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).drop("n")
-    name = F.concat_ws("\0", "host", "path").alias("name")
+    distinct = urls.groupBy("host", "path", "tail").agg(F.count(F.lit(1)).alias("n")).drop("n")
+    name = F.concat_ws("\0", "host", "path", "tail").alias("name")
     blocked = match_rules(distinct.select(name, tokens), mined, "name").withColumn("hit", F.lit(True))
     rule, verdict = fixed_rule(F.col("host"), F.col("path"), rules)
     return (
-        urls.withColumn("name", F.concat_ws("\0", "host", "path"))
+        urls.withColumn("name", name)
         .join(blocked, "name", "left")
         .select(
             F.col("page").alias(id_col),
