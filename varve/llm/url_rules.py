@@ -12,7 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm.common import ascii_lower, sized_broadcast, stored
+from varve.llm.common import ascii_lower, shuffle_partitions, sized_broadcast, stored
 
 MIN_SUPPORT_ROWS = 20
 MIN_CONFIDENCE = 0.6
@@ -86,7 +86,8 @@ def mine_rules(
     if n == 0:
         return spark.createDataFrame([], "rule array<string>, confidence double")
     support = (min_support_rows - 0.5) / n  # Spark rounds up to rows
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
+    growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence)
+    model = growth.setNumPartitions(shuffle_partitions(spark)).fit(baskets)  # stored, they may be one file
     found = model.associationRules.where(F.col("consequent")[0] == BAD).select(
         F.array_sort("antecedent").alias("rule"), "confidence"
     )
