@@ -18,6 +18,7 @@ from varve.llm import (
     token_transducer,
     toxicity,
     url_rules,
+    whitening,
 )
 from varve.llm.common import table
 
@@ -136,3 +137,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_rows(table(spark, sf_dir, "documents"), shards=8)
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings"), most=16))
