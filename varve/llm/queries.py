@@ -15,6 +15,7 @@ from varve.llm import (
     ring,
     suffix_pieces,
     tag_paths,
+    token_groups,
     token_transducer,
     toxicity,
     url_rules,
@@ -142,3 +143,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings"), most=16))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_groups.align_tokens(table(spark, sf_dir, "documents"), *paths, digest=True)
