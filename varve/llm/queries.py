@@ -11,6 +11,7 @@ from varve.llm import (
     content_sort,
     gear_chunks,
     part_enum,
+    pii_trees,
     positional_index,
     ring,
     suffix_pieces,
@@ -149,3 +150,8 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return token_groups.align_tokens(table(spark, sf_dir, "documents"), *paths, digest=True)
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_trees.span_digests(pii_trees.find_pii(table(spark, sf_dir, "documents")))

@@ -35,7 +35,7 @@ PORTION_BYTES = 4_000_000
 UNIT_LIMIT = 200_000  # remembered units of a worker, and the ids that they may have together
 ID_LIMIT = 2_000_000
 # A space beside white space is not a place where both tokenizers always cut.
-BLANK = r"[\s\x1c-\x1f᠎​﻿]"
+BLANK = r"[\s\x1c-\x1f" + "".join(map(chr, (0x180E, 0x200B, 0xFEFF))) + "]"
 ODD = re.compile(f"^ | $|{BLANK} | {BLANK}|{SPACE}")
 
 
