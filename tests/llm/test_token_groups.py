@@ -120,8 +120,7 @@ def test_small_portions_and_a_small_memory_change_nothing(spark, docs):
     texts = [t or "" for _, t in ROWS if t != LONG]
     whole = aligner.portion(texts)
     assert whole["groups"] == [w[7] if w[7] is not None else g for w, g in zip(wanted, whole["groups"], strict=True)]
-    aligner.a.forget()
-    aligner.b.forget()
+    aligner.forget()
     for k, text in enumerate(texts):
         alone = aligner.portion([text])
         assert alone["groups"] == whole["groups"][k : k + 1]
@@ -141,13 +140,24 @@ def test_pointers_reach_the_end_of_each_component():
 
 def test_units_are_where_both_tokenizers_cut():
     rng = np.random.default_rng(4)
-    letters = list("ab'sé1.,\n\t日 ") + ["  ", " the", "　", "’"]
-    aligner = token_groups.Aligner(open(A, "rb").read(), open(B, "rb").read())
-    for _ in range(400):
-        text = "".join(rng.choice(letters, int(rng.integers(1, 40))))
-        units = token_groups.units_of(text)
-        for side in (aligner.a, aligner.b):
-            assert sum(side.encode(units), []) == side.encode([text])[0]
+    letters = list("ab'sé1.,\n\t日 ") + ["  ", " the", "　", "’", "\u180e", "\x1c", "▁", "\x00"]
+    sides = token_groups.Aligner(open(A, "rb").read(), open(B, "rb").read()).sides
+    plain = 0
+    for _ in range(2000):
+        text = "".join(letters[k] for k in rng.integers(0, len(letters), int(rng.integers(1, 30))))
+        if token_groups.is_plain(text):
+            plain += 1
+            for side in sides:
+                flat, sizes = side.encode_units(text.split(" "))
+                assert flat.tolist() == side.encode([text])[0]
+                each, many = side.encode_each(text.split(" "))
+                assert (flat.tolist(), sizes.tolist()) == (each.tolist(), many.tolist())
+    assert 200 < plain < 1900
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [5, 1 << 31, 255, 256], range(1000)):
+        assert token_groups.unpacked(token_groups.packed(np.array(numbers, np.int64))).tolist() == list(numbers)
 
 
 def test_query(spark):
