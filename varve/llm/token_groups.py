@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 from varve.llm.common import broadcast_file, portions_of, ship_package, stored
 
 SPACE = "▁"
-PORTION_BYTES = 2_000_000
+PORTION_BYTES = 1_000_000
 UNIT_LIMIT = 300_000  # remembered units of a worker, and the ids of either side
 ID_LIMIT = 3_000_000
 UNITS_AT_ONCE = 2_000
