@@ -362,6 +362,21 @@ def test_sentencepiece_memo_is_bounded(monkeypatch, hard_texts):
 # ---- toxicity
 
 
+def test_training_sample_is_bounded_and_clashes_with_no_column(spark):
+    rows = [(i, f"text {i} " + ("bad" if i % 4 == 0 else "good"), i, "x", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, label_id string, id int")
+    twice = docs.unionByName(docs.where("doc_id < 50")).unionByName(docs.where("doc_id = 8").withColumn("text", F.lit("x" * 99)))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), 1) for i in range(0, 400)] + [(None, 1, 1)], "doc_id long, toxic int, quality int")
+    sample = toxicity.training_sample(twice, labels, "doc_id", "text", most_toxic=20, most_other=30, most_chars=50)
+    assert sorted(y for _, y in sample) == [0] * 30 + [1] * 20 and len(set(sample)) == 50
+    for text, toxic in sample:
+        i = int(text.split(" ")[1])
+        assert zlib.crc32(str(i).encode()) % 3 != 1 and toxic == (i % 4 == 0)
+    scored = toxicity.score_toxicity(docs, labels, most_toxic=20, most_other=30)
+    assert scored.columns == [*docs.columns, "held_out", "score", "predicted"] and scored.count() == 300
+    assert toxicity.drop_toxic(docs, labels, most_toxic=20, most_other=30).columns == docs.columns
+
+
 def test_toxicity(spark, docs, no_docs):
     bad = ["idiot", "moron", "scum"]
     rows = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -79,3 +80,14 @@ def portions_of(texts: pa.Array, most: int) -> Iterator[list[str]]:
         size += length
     if len(texts):
         yield texts.slice(first).to_pylist()
+
+
+def release_memory() -> None:
+    """Gives what a worker no longer uses back to the system.
+
+    Workers live on between stages, and their allocators keep freed memory.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)

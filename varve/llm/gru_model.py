@@ -268,7 +268,7 @@ def _layout(starts, ends, width=WINDOW):
     return np.minimum(index, np.maximum(ends - 1, 0)[None, :]), mask
 
 
-MEMO_LIMIT = 100_000
+MEMO_LIMIT = 60_000
 SCORE_BATCH = 2048
 
 

@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.llm.bpe_paths import Pairs
-from varve.llm.common import broadcast_file, portions_of, ship_package
+from varve.llm.common import broadcast_file, portions_of, release_memory, ship_package
 
 SPACE = "▁"
-WORD_LIMIT = 300_000
+WORD_LIMIT = 200_000
 BATCH_BYTES = 1_000_000
 WORDS_AT_ONCE = 10_000
-PAIR_LIMIT = 2_000_000
+PAIR_LIMIT = 1_000_000
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -86,6 +86,10 @@ class Pieces:
         self.plain = np.frombuffer(b"".join(plain), np.uint8)
         self.plain_sizes = np.array([len(b) for b in plain], np.int64)
         self.plain_starts = np.cumsum(self.plain_sizes) - self.plain_sizes
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words encoded so far; what is known of pairs stays, which is far smaller."""
         self.known: dict[str, int] = {}
         self.ends = np.zeros(1, np.int64)  # of the known words' ids in ``coded``
         self.coded = np.zeros(0, np.int32)
@@ -325,6 +329,8 @@ def encode(
                     columns.append(pieces.decode_all(flat, sizes))
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        pieces.forget()
+        release_memory()
 
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from varve.llm.common import broadcast_file, portions_of, ship_package, stored
+from varve.llm.common import broadcast_file, portions_of, release_memory, ship_package, stored
 
 SPACE = "▁"
 PORTION_BYTES = 1_000_000
@@ -367,6 +367,7 @@ def align_tokens(
                 portion += 1
                 done += len(texts)
         aligner.forget()
+        release_memory()
 
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.llm import gru_model as net
-from varve.llm.common import portions_of, ship_package
+from varve.llm.common import portions_of, release_memory, ship_package
 
-# The training sample: this many texts of each label at most, none longer than TRAIN_CHARS.
+# Defaults of the training sample: this many texts of each label at most, none longer than that.
 TRAIN_TOXIC = 800
 TRAIN_OTHER = 3200
 TRAIN_CHARS = 6_000
@@ -33,7 +33,7 @@ FEATURES = 1 << 20
 LEAST_ODDS = 1.5  # a seed's log odds, and how far beyond chance its count must be
 LEAST_SPREADS = 4
 RATE = 0.02
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 500_000
 
 
 def _features(word):
@@ -182,20 +182,41 @@ def _calibrate(model, best, labels):
     model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - at)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> list[tuple]:
-    """(text, toxic) rows to learn from: no held-out rows, a bounded number, short ones only."""
-    toxic = labels.where("toxic IS NOT NULL").groupBy(F.col(id_col).alias("label_id")).agg(
-        F.max("toxic").alias("toxic")
-    )
-    usable = docs.where(~held_out(id_col) & (F.length(text_col).between(1, TRAIN_CHARS)))
-    rows = usable.join(toxic, F.col(id_col) == F.col("label_id")).select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), "toxic"
-    )
-    order = [F.xxhash64("id"), F.col("id"), F.xxhash64("text")]
-    found = []
-    for label, most in ((1, TRAIN_TOXIC), (0, TRAIN_OTHER)):
-        found += rows.where(F.col("toxic") == label).orderBy(*order).limit(most).collect()
-    return [(r["text"], r["toxic"]) for r in found]
+def training_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    text_col: str,
+    most_toxic: int = TRAIN_TOXIC,
+    most_other: int = TRAIN_OTHER,
+    most_chars: int = TRAIN_CHARS,
+) -> list[tuple[str, int]]:
+    """(text, toxic) rows to learn from: no held-out rows, a bounded number, short ones only.
+
+    The ids are chosen first, by hash, from the lengths of the texts and the labels; then only
+    the texts of these few ids are fetched. So no text is shuffled, and the driver holds
+    ``most_chars`` characters of each chosen row at most. An id with several texts counts once in
+    the choice, and the first of its texts (by hash) is learned from.
+    """
+    label = labels.select(F.col(id_col).alias("label_id"), F.col("toxic").alias("toxic"))
+    label = label.where("toxic IS NOT NULL AND label_id IS NOT NULL")
+    label = label.where(~held_out("label_id")).groupBy("label_id").agg(F.max("toxic").alias("toxic"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    short = texts.where(F.length("text").between(1, most_chars))
+    usable = label.join(short.select(F.col("id").alias("label_id")), "label_id", "left_semi")
+    order = [F.xxhash64("label_id"), F.col("label_id")]
+    chosen: dict = {}
+    for toxic, most in ((1, most_toxic), (0, most_other)):
+        rows = usable.where(F.col("toxic") == toxic).orderBy(*order).limit(most)
+        chosen |= {r["label_id"]: toxic for r in rows.select("label_id").collect()}
+    if not chosen:
+        return []
+    kind = docs.schema[id_col].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame([(i,) for i in chosen], f"id {kind}")
+    fetched = short.join(F.broadcast(wanted), "id", "left_semi")
+    first = fetched.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    found = {r["id"]: r["text"] for r in first.select("id", "least.text").collect()}
+    return [(found[i], toxic) for i, toxic in chosen.items() if i in found]
 
 
 def held_out(id_col: str):
@@ -204,16 +225,17 @@ def held_out(id_col: str):
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sample: int
 ) -> DataFrame:
     """The rows of ``docs`` with ``score`` (0 to 1), ``predicted`` (score >= 0.7) and ``held_out``.
 
-    The network learns from the labelled rows that are not held out, see :func:`training_sample`;
-    only their texts and labels are used. Every text is scored whole. NULL, empty and wordless
-    texts score 0. Without labels of both kinds every text scores 0. Repeated rows score alike.
-    An empty table gives no rows. Columns of ``docs`` with the new names are replaced.
+    The network learns from the labelled rows that are not held out, see :func:`training_sample`,
+    whose bounds ``sample`` may set; only their texts and labels are used. Every text is scored
+    whole, by windows that overlap by a third. NULL, empty and wordless texts score 0. Without
+    labels of both kinds every text scores 0. Repeated rows score alike. An empty table gives no
+    rows. Columns of ``docs`` with the new names are replaced; others, as ``toxic``, stay.
     """
-    score = scorer(docs.sparkSession, training_sample(docs, labels, id_col, text_col))
+    score = scorer(docs.sparkSession, training_sample(docs, labels, id_col, text_col, **sample))
     out = docs.withColumn("held_out", held_out(id_col))
     out = out.withColumn("score", score(F.coalesce(F.col(text_col), F.lit(""))))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
@@ -232,13 +254,18 @@ def scorer(spark: SparkSession, sample: list[tuple[str, int]]):
                 best = net.score_texts(model.value, texts)
                 scores.append(net.sigmoid(model.value.scale * best + model.value.shift))
             yield pa.array(np.concatenate(scores))
+        model.value.forget()
+        release_memory()
 
     return scores_of
 
 
 def drop_toxic(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sample: int
 ) -> DataFrame:
-    """The rows of ``docs`` that are not predicted to be toxic, with all their columns."""
-    score = scorer(docs.sparkSession, training_sample(docs, labels, id_col, text_col))
+    """The rows of ``docs`` that are not predicted to be toxic, with all their columns.
+
+    Scores and edge cases are those of :func:`score_toxicity`; an empty table gives no rows.
+    """
+    score = scorer(docs.sparkSession, training_sample(docs, labels, id_col, text_col, **sample))
     return docs.where(score(F.coalesce(F.col(text_col), F.lit(""))) < THRESHOLD)
