@@ -47,8 +47,18 @@ def sized_broadcast(df: DataFrame, bytes_: int | None, limit: int) -> DataFrame:
     return F.broadcast(df) if (bytes_ or 0) <= limit else df
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per session, as ``--py-files`` would."""
+    """Sends this package to the Python workers, once per session, as ``--py-files`` would.
+
+    Whole texts in batches of Spark's default of 10,000 rows take hundreds of MB in the executor
+    and again in its workers, so a session that has not set the number of rows gets a smaller one.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, TEXTS_PER_BATCH)
     context = spark.sparkContext
     if getattr(context, "_llm_package", None):
         return
