@@ -294,6 +294,54 @@ def test_only_the_days_own_landing_is_loaded(spark, tmp_path):
     year = spark.table("gold.resumen_anual").where("anio = 2024").first()
     assert year["precipitacion_total_espana_mm"] == 186.5
 
+    # A landing that is not there stops the run before the first table is written.
+    before = {t: spark.table(t).collect() for t in ("bronze.nasa_gistemp_raw", "silver.aemet_dana_clean", "gold.resumen_anual")}
+    (tmp_path / "gistemp" / "x.csv").write_text(GISTEMP.replace("1880", "1881"))
+    with pytest.raises(FileNotFoundError, match="2031-01-01"):
+        refresh(spark, inputs, "2031-01-01")
+    assert {t: spark.table(t).collect() for t in before} == before
+
+    # Keys without a column are named.
+    more = [{**r, "nuevo": 1, "Fecha2": None} for r in STATIONS[:1]] + STATIONS[1:]
+    put("stations/ingest_date=2024-12-01", json.dumps(more), "x.json")
+    put("episode/ingest_date=2024-12-01", json.dumps(EPISODE), "x.json")
+    runs = refresh(spark, inputs, "2024-12-01")
+    assert runs["bronze.aemet_climatologia_raw"].undeclared == ["Fecha2", "nuevo"]
+    assert runs["bronze.aemet_dana_raw"].undeclared == []
+
+
+def test_a_run_that_publishes_keeps_the_old_tables_until_the_new_ones_are_whole(spark, tmp_path, built):
+    from varve.plans.refresh import SCHEMAS
+    from varve.sinks import publish_table
+
+    def put(name, text, file="x.csv"):
+        (tmp_path / name).mkdir(parents=True, exist_ok=True)
+        (tmp_path / name / file).write_text(text)
+        return str(tmp_path / name)
+
+    stored = {t: spark.table(t).collect() for t in ("gold.resumen_anual", "gold.dana_vs_normal")}
+    inputs = Inputs(
+        gistemp=put("gistemp", GISTEMP), oisst=put("oisst", OISST), tracks=put("tracks", track_file()),
+        stations=put("stations", json.dumps(STATIONS), "x.json"), episode=put("episode", json.dumps(EPISODE), "x.json"),
+    )
+    names = {s: [t.name for t in spark.catalog.listTables(s)] for s in SCHEMAS}
+    saved = {f"{s}.{t}": str(tmp_path / "saved" / s / t) for s in SCHEMAS for t in names[s]}
+    for table, path in saved.items():
+        spark.table(table).write.parquet(path)
+        spark.sql(f"DROP TABLE {table}")
+    try:
+        refresh(spark, inputs, RUN, save=publish_table)
+        assert spark.table("gold.dana_vs_normal").collect() == stored["gold.dana_vs_normal"]
+        put("stations", json.dumps([{**STATIONS[0], "fecha": "no date"}]), "x.json")
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            refresh(spark, inputs, RUN, save=publish_table)
+        assert spark.table("silver.aemet_climatologia_clean").count() == len(STATIONS)
+        assert spark.table("gold.dana_vs_normal").collect() == stored["gold.dana_vs_normal"]
+    finally:
+        for table, path in saved.items():
+            spark.sql(f"DROP VIEW IF EXISTS {table}")
+            spark.read.parquet(path).write.mode("overwrite").saveAsTable(table)
+
 
 def raw_stations(spark, *records):
     fields = [*layouts.STATION_FIELDS, "ciudad_objetivo"]

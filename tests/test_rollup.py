@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import physical_plan
-from varve.operators import distinct_entities, entity_rollup
+from varve.operators import distinct_entities, entity_rollup, entity_totals
 
 TRACKS = [
     ("S1", 2020, "NA", 2),
@@ -42,3 +42,13 @@ def test_distinct_entities_descending(spark):
     assert [tuple(r) for r in got.collect()] == [(2020, 3)]
     by_basin = distinct_entities(tracks(spark), "id", ["basin"], "n").collect()
     assert [r["n"] for r in by_basin] == sorted((r["n"] for r in by_basin), reverse=True)
+
+
+def test_totals_count_an_entity_once(spark, rows):
+    got = entity_totals(tracks(spark).withColumn("basin", F.nullif(F.col("basin"), F.lit("XX"))), ["id"], ["season", "basin"], "cat", 3)
+    assert got.columns == ["season", "basin", "level", "entities", "intense"]
+    assert rows(got) == [
+        (None, None, 0, 3, 2), (2020, None, 1, 3, 2), (2020, None, 2, 1, 0),
+        (2020, "EP", 2, 1, 0), (2020, "NA", 2, 1, 1), (2020, "WP", 2, 1, 1),
+    ]
+    assert entity_totals(tracks(spark).where("false"), ["id"], ["season"], "cat", 3).where("level > 0").count() == 0

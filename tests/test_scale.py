@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import physical_plan
-from varve.operators import align, merge_history
+from varve.operators import align, anomaly, as_of_join, merge_history, moving_mean, range_join
 from varve.sinks import land_records
 from varve.sources import extract_from_lines, mark_lines
 from workload import REGISTRY
@@ -19,7 +19,25 @@ def _depth(line):
     return re.match(r"[\s:+|\-]*", line).end()
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+# These sort rows, but a key's rows in one block of time only; `_block` is that block.
+BLOCKED = {"last_order_before", "recent_order_before", "weekly_moving_mean"}
+
+
+@pytest.mark.parametrize("name", sorted(BLOCKED))
+def test_windows_over_rows_are_cut_by_time(spark, name):
+    """Every shuffle is by block too, or of rows that are one per key and block or fewer."""
+    plan = physical_plan(REGISTRY[name].run(spark, SF)).splitlines()
+    windows = [line for line in plan if re.search(r"\bWindow \[", line)]
+    assert windows and "Exchange SinglePartition" not in "".join(plan)
+    for i, line in enumerate(plan[:-1]):
+        if "Exchange hashpartitioning" in line and "Reused" not in line:
+            below = plan[i + 1]
+            grouped = "partial_" in below or "functions=[]" in below
+            summary = re.search(r"HashAggregate\(keys=\[.*_block|SortAggregate\(key=\[.*_block", below)
+            assert "_block" in line or grouped or summary, line + below
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY.keys() - BLOCKED))
 def test_groups_are_reduced_before_they_are_shuffled(spark, name):
     """Every shuffle by key carries partial aggregates or distinct keys, or feeds a join itself."""
     plan = physical_plan(REGISTRY[name].run(spark, SF)).splitlines()
@@ -103,3 +121,32 @@ def test_a_hot_file_stays_spread(spark, small_partitions):
     table = extract_from_lines(mark_lines(rows.unionByName(frame)), ["Year", "id"])
     sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 40_000 and max(sizes) <= 20_000
+
+
+def largest_task(df):
+    """The most rows of ``df`` that one task makes; all columns are made, none is pruned."""
+    counts = [F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*df.columns)).alias("made")]
+    return max(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(*counts).collect())
+
+
+def series(spark, n):
+    """A third of the rows of key 0; wide rows, so that partitions stand out."""
+    at = (F.col("id") * 7919 % 1000).alias("t")
+    return spark.range(0, n, 1, 8).select(hot(0, 400).alias("k"), at, F.rand(3).alias("v"), F.repeat(F.uuid(), 4).alias("pad"))
+
+
+def test_a_hot_key_is_cut_by_time(spark, small_partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        left = series(spark, 60_000)
+        right = series(spark, 30_000).select("k", F.col("t").alias("u"), F.col("v").alias("w"))
+        joined = as_of_join(left, right, ["k"], "t", "u", block=20)
+        assert joined.count() == 60_000 and largest_task(joined) < 60_000 // 8
+        mean = moving_mean(left, ["k"], "t", "v", width=5, block=20)
+        assert mean.count() == 60_000 and largest_task(mean) < 60_000 // 8
+        pairs = range_join(left, right.select(F.col("u").alias("a"), (F.col("u") + 2).alias("b")).distinct(), "t", "a", "b", 4)
+        assert largest_task(pairs) < pairs.count() // 4
+        apart = anomaly(left, ["k"], F.col("t") % 2, "v")
+        assert apart.count() == 60_000 and largest_task(apart) < 60_000 // 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -44,3 +44,38 @@ def distinct_entities(
     """
     counted = df.groupBy(*group_keys).agg(F.count_distinct(entity).alias(name))
     return counted.orderBy(F.col(name).desc(), *group_keys)
+
+
+def entity_totals(
+    df: DataFrame,
+    entity_keys: Sequence[str],
+    levels: Sequence[str],
+    measure: str,
+    threshold: float,
+    entities: str = "entities",
+    intense: str = "intense",
+    level: str = "level",
+) -> DataFrame:
+    """:func:`entity_rollup` by all ``levels``, by all but the last, and so on, down to one total.
+
+    ``level`` says by how many levels a row is grouped, so a total (level too low for the column,
+    which is NULL) is told from a group whose own value is NULL. An entity of two groups counts
+    once in their total, so totals are not sums. All levels come from one reading of the rows,
+    which are grouped in each task first.
+    """
+    sets = [[*entity_keys, *levels[:k]] for k in range(len(levels), -1, -1)]
+    sets = [list(dict.fromkeys(s)) for s in sets]
+    keys = list(dict.fromkeys([*entity_keys, *levels]))
+    dropped = F.bit_count(F.grouping_id())
+    per_entity = df.groupingSets(sets, *keys).agg(F.max(measure).alias("_peak"), dropped.alias("_dropped"))
+    clash = set(entity_keys) & set(levels)
+    if clash:
+        raise ValueError(f"levels among the entity's keys: {sorted(clash)}")
+    return (
+        per_entity.groupBy(*levels, "_dropped")
+        .agg(
+            F.count(F.lit(1)).alias(entities),
+            count_where(F.col("_peak") >= threshold).alias(intense),
+        )
+        .select(*levels, (F.lit(len(levels)) - F.col("_dropped")).cast("int").alias(level), entities, intense)
+    )

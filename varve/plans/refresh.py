@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from varve.operators import drop_units_row, stamp
 from varve.plans import aggregates, clean, layouts
 from varve.sinks import comments_from_dictionary, observed, save_table
-from varve.sources import read_embedded_table, read_records, read_strings
+from varve.sources import landing_texts, read_embedded_table, read_records, read_strings, undeclared_keys
 
 SCHEMAS = ("bronze", "silver", "gold")
 
@@ -111,10 +111,14 @@ class TableRun:
     rows_read: int
     undocumented: list[str]
     corrupt: int = 0
+    undeclared: list[str] = field(default_factory=list)
 
 
 def refresh(
-    spark: SparkSession, inputs: Inputs, run_date: dt.date | str | None = None
+    spark: SparkSession,
+    inputs: Inputs,
+    run_date: dt.date | str | None = None,
+    save: Callable[..., list[str]] = save_table,
 ) -> dict[str, TableRun]:
     """Rebuild every table in the schemas bronze, silver and gold of the current catalog.
 
@@ -122,10 +126,14 @@ def refresh(
     failed run can start again at any table. Per table the result holds the rows written, the
     rows read before a units line was dropped, the documented names that are no columns, and the
     texts that were no JSON record, which are left out; rows are counted by the writes themselves.
-    Of records landed by day (folders ``ingest_date=…``) only those of ``run_date`` are read.
+    Of records landed by day (folders ``ingest_date=…``) only those of ``run_date`` are read; if
+    that landing is not there, nothing is written at all. Keys of the records that no column takes
+    are named in the result. ``save`` writes the tables: with ``publish_table`` each changes in one
+    step, and its readers and a failed run keep the one before.
     """
     if run_date is None:  # one date for the whole run, even past midnight
         run_date = spark.range(1).select(F.current_date()).first()[0]
+    landings = {path: landing_texts(spark, path, run_date) for path in (inputs.stations, inputs.episode)}
     for schema in SCHEMAS:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     done: dict[str, TableRun] = {}
@@ -135,6 +143,7 @@ def refresh(
         df: DataFrame,
         column_comments: Mapping[str, str] | None = None,
         units: tuple[str, str] | None = None,
+        undeclared: list[str] | None = None,
     ) -> DataFrame:
         comments = column_comments or COLUMN_COMMENTS.get(name)
         broken = {"corrupt": F.col(CORRUPT).isNotNull()} if CORRUPT in df.columns else {}
@@ -142,9 +151,10 @@ def refresh(
         if broken:
             source = source.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         kept, written = observed(drop_units_row(source, *units) if units else source)
-        missing = save_table(kept, name, TABLE_COMMENTS.get(name), comments)
+        missing = save(kept, name, TABLE_COMMENTS.get(name), comments)
         counts = read.get
-        done[name] = TableRun(written.get["rows"], counts["rows"], missing, counts.get("corrupt", 0))
+        rows, lost = written.get["rows"], counts.get("corrupt", 0)
+        done[name] = TableRun(rows, counts["rows"], missing, lost, undeclared or [])
         return spark.table(name)
 
     def stamped(df: DataFrame) -> DataFrame:
@@ -156,6 +166,10 @@ def refresh(
             return read
         return read.where(F.col(LANDING_DAY) == F.lit(str(run_date)).cast("date")).drop(LANDING_DAY)
 
+    def unread(path: str, schema: str) -> list[str]:
+        keys = undeclared_keys(landings[path], schema).agg(F.sort_array(F.collect_list("key")))
+        return keys.first()[0]
+
     gistemp_raw = store(
         "bronze.nasa_gistemp_raw",
         stamped(read_embedded_table(spark, inputs.gistemp, layouts.GISTEMP_COLUMNS)),
@@ -171,16 +185,19 @@ def refresh(
         units=layouts.TRACKS_UNITS,
     )
     fields = ", ".join(f"{name} STRING" for name in layouts.STATION_FIELDS)
+    station_fields = f"{fields}, ciudad_objetivo STRING"
     dictionary = comments_from_dictionary(inputs.dictionary)
     stations_raw = store(
         "bronze.aemet_climatologia_raw",
-        records(inputs.stations, f"{fields}, ciudad_objetivo STRING"),
+        records(inputs.stations, station_fields),
         dictionary,
+        undeclared=unread(inputs.stations, station_fields),
     )
     episode_raw = store(
         "bronze.aemet_dana_raw",
         records(inputs.episode, fields),
         dictionary,
+        undeclared=unread(inputs.episode, fields),
     )
 
     gistemp = store("silver.nasa_gistemp_clean", clean.clean_gistemp(gistemp_raw))

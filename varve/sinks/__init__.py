@@ -1,4 +1,4 @@
-"""Writers: documented tables and raw landings."""
+"""Writers: documented tables, versions of tables, histories, and raw landings."""
 
 from varve.sinks.landing import land_records
 from varve.sinks.tables import (
@@ -8,12 +8,16 @@ from varve.sinks.tables import (
     observed,
     save_table,
 )
+from varve.sinks.versions import merge_landing, publish_table, published_path
 
 __all__ = [
     "comments_from_dictionary",
     "describe_field",
     "document_table",
     "land_records",
+    "merge_landing",
     "observed",
+    "publish_table",
+    "published_path",
     "save_table",
 ]

@@ -57,11 +57,14 @@ def read_records(
 ) -> DataFrame:
     """JSON records: one object per line, or an array of objects in one line.
 
-    Keys absent from a record give NULL. Text that is no record fails the query; with ``corrupt``
-    it becomes a row of NULLs whose text is in the column of that name, to be counted. Directories named ``column=value`` add that column and
-    are pruned by filters on it. An array printed over several lines needs ``multiline``, and
-    one task then reads the whole file.
+    Keys absent from a record give NULL; keys of a record that are not in ``schema`` are not read
+    (``undeclared_keys`` reports them, ``infer_records`` reads all). Text that is no record fails
+    the query; with ``corrupt`` it becomes a row of NULLs whose text is in the column of that name,
+    to be counted. Directories named ``column=value`` add that column and are pruned by filters on
+    it. An array printed over several lines needs ``multiline``, and one task then reads the whole
+    file. A path without files is an error.
     """
+    require_files(spark, path, "*")
     reader = spark.read.option("multiLine", multiline)
     if corrupt is None:
         return reader.schema(schema).option("mode", "FAILFAST").json(path)
