@@ -491,6 +491,74 @@ def test_whole_articles():
         assert tag_paths.main_text(page) == " ".join(plain.split())
 
 
+ARTICLE = "<h1>Title of it</h1>" + "".join(
+    f"<p>A long sentence number {i}, with a comma; and more of it. It goes on, and ends.</p>" for i in range(12)
+)
+ARTICLE_TEXT = " ".join(re.sub("<[^>]*>", " ", ARTICLE).split())
+
+
+@pytest.mark.parametrize(
+    "opened",
+    [
+        '<div class="site has-sidebar">',
+        '<div id="page" class="no-comments">',
+        '<div class="content with-share-buttons">',
+        '<form id="aspnetForm">',
+        '<div class="sidebar-right">',
+        '<div data-role="header" class="page">',
+    ],
+)
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_are_no_side_matter(opened, inner):
+    closed = f"</{opened[1:].split()[0]}>"
+    side = '<aside><p>Elsewhere, other things happen. Read on, please.</p></aside><div class="site-footer">All, rights.</div>'
+    page = f"<body>{opened}<nav><a>Home</a></nav><{inner}>{ARTICLE}</{inner}>{side}{closed}</body>"
+    assert tag_paths.main_text(page) == ARTICLE_TEXT
+
+
+def test_comments_without_a_known_class():
+    said = "I read this, and I disagree. It was, frankly, long; but I liked it, mostly."
+    items = "".join(f'<div class="entry"><a class="user-name">Jo {i}</a><p>{said * 3}</p></div>' for i in range(15))
+    headed = f"<h3>3 Comments</h3><div><p>{said}</p></div><div><p>{said}</p></div>"
+    nested = "".join(f'<article><span class="author">Jo</span><p>{said}</p></article>' for _ in range(3))
+    for after in (f'<div class="thread">{items}</div>', items, headed, f"<section>{headed}</section>", nested):
+        for page in (
+            f"<body><article>{ARTICLE}{after}</article></body>",
+            f"<body><main><article>{ARTICLE}</article>{after}</main></body>",
+            f"<body><div>{ARTICLE}{after}</div></body>",
+            f'<body><div>{ARTICLE}</div><div class="x">{after}</div></body>',
+        ):
+            assert tag_paths.main_text(page) == ARTICLE_TEXT
+    hidden = '<div class="comment-list"><article><p>' + said * 40 + "</p></article></div>"
+    assert tag_paths.main_text(f"<body><div>{ARTICLE}</div>{hidden}</body>") == ARTICLE_TEXT
+
+
+def test_pages_without_an_article_and_with_a_title_before_it():
+    links = "".join(f'<li><a href="/{i}">Another story, number {i}</a></li>' for i in range(8))
+    page = f"<body><div><ul>{links}</ul>{ARTICLE}<ul><li>Point one</li><li>See <a>this</a> point, too</li></ul></div></body>"
+    assert tag_paths.main_text(page) == ARTICLE_TEXT + " Point one See this point, too"
+    body = ARTICLE.replace("<h1>Title of it</h1>", "")
+    page = f"<main><div>Kicker</div><h1>Title of it</h1><article>{body}</article><p>Next, please.</p></main>"
+    assert tag_paths.main_text(page) == ARTICLE_TEXT
+    for empty in ("<nav><a>Home, page.</a></nav>", '<div class="cookie-notice"><p>We use cookies, yes.</p></div>', "<form>Search, please.</form>"):
+        assert tag_paths.main_text(f"<body>{empty}</body>") == ""
+
+
+def test_very_deep_pages_cost_no_more_than_long_ones():
+    import time
+    import tracemalloc
+
+    for page in ("<div>" * 100_000 + "So, it ends.", "<div><b>x, y.</b>" * 20_000 + "</div>" * 20_000, "<div>" * 50_000 + "</p></li>" * 50_000):
+        tracemalloc.start()
+        tag_paths.main_text(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100 << 20
+        start = time.process_time()
+        tag_paths.main_text(page)
+        assert time.process_time() - start < 4
+
+
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
