@@ -1,6 +1,7 @@
 """Each operator against brute force on a small table of hard cases."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -608,6 +609,42 @@ def test_url_rules_at_any_size_and_in_the_whole_url(spark):
         assert all((r["verdict"] == "block") == (r["page_id"] < 300) for r in got)
 
 
+def rules_by_hand(rows, support, confidence):
+    """All token sets with enough bad rows and a large enough bad share."""
+    seen = Counter()
+    bad = Counter()
+    for tokens, is_bad in rows:
+        for size in range(1, len(tokens) + 1):
+            for some in itertools.combinations(sorted(tokens), size):
+                seen[some] += 1
+                bad[some] += is_bad
+    return [set(k) for k, n in seen.items() if bad[k] >= support and bad[k] / n >= confidence]
+
+
+def test_mined_rules_against_all_token_sets(spark):
+    rows = []
+    for i in range(240):
+        host = ("www.a.com", "b.a.com", "www.c.org", "x-a.net", "d.net")[i % 5]
+        path = ("/p/q", "/p", "/r/q", "", "/q/s:")[i // 5 % 5]
+        tail = ("?k=1", "?k=2#f", "", "?m=1&k=1")[i // 7 % 4]
+        bad = ("a.com" in host and "/q" in path) or ("k=1" in tail and "/r" in path) or i % 11 == 0
+        rows.append((i, f"http://{host}{path}{tail}", bad if i % 13 else None))
+    host, path = url_rules.host_and_path(F.col("url"))
+    tokens = url_rules.url_tokens(host, path, url_rules.url_tail(F.col("url"))).alias("tokens")
+    df = spark.createDataFrame(rows, "id long, url string, bad boolean").select("id", tokens, "bad")
+    taken = df.collect()
+    assert "path:s:" in taken[20]["tokens"]
+    for support, confidence in ((5, 0.6), (3, 0.45)):
+        wanted = rules_by_hand([(r["tokens"], r["bad"]) for r in taken if r["bad"] is not None], support, confidence)
+        mined = url_rules.mine_rules(df.select("tokens", "bad"), support, confidence)
+        rules = [set(r["rule"]) for r in mined.collect()]
+        assert rules and all(r in wanted for r in rules)
+        assert not any(a < b for a in rules for b in rules)
+        fits = {r["id"] for r in url_rules.match_rules(df, mined, "id").collect()}
+        assert fits == {r["id"] for r in taken if any(w <= set(r["tokens"]) for w in wanted)}
+        assert any(len(r) > 1 for r in rules)
+
+
 # ---- shards
 
 

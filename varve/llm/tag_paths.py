@@ -112,6 +112,8 @@ def _names(page: str, start: int, end: int) -> tuple[bool, bool, bool, str]:
     """Whether a tag's names say side matter, comments, a writer; and its class."""
     side = comments = writer = False
     class_ = ""
+    if end - start < 6:  # too short for an attribute
+        return side, comments, writer, class_
     for kind, *values in _ATTRIBUTE.findall(page, start, end):
         value = "".join(values)
         if kind.lower() == "class":
@@ -221,7 +223,7 @@ class _Page:
                 continue
             if tag in INLINE:
                 links = 1 if tag == "a" else links
-                if at - name.end() > 6 and _names(page, name.end(), at)[2]:
+                if _names(page, name.end(), at)[2]:
                     self.writer[node] = True
                 continue
             if tag in RAW:
@@ -344,6 +346,8 @@ def _mark_comments(page: _Page, owner: np.ndarray, used: np.ndarray) -> None:
             ends.setdefault(page.parent[at], at)
     for i in range(1, len(marked)):
         marked[i] = marked[i] or (page.parent[i] in ends and i >= ends[page.parent[i]])
+    if not any(marked):
+        return
     dropped = page.inside(marked)[owner]
     content = np.flatnonzero(_weights(page, used & ~dropped) > 0)
     first = np.flatnonzero(dropped & used)

@@ -2,8 +2,14 @@
 
 Fixed rules name a host and a path prefix; the longest that fits decides. Every other URL is
 judged by rules "these tokens, hence a bad label" that Spark's FP-growth mines from labelled URLs
-and that pass a support, a number of rows whatever the table's size, and a confidence. They are matched by an inverted index: a rule is filed
-under its rarest token, URLs are joined to it by token, and the rest of its tokens is checked.
+and that pass a support, a number of rows whatever the table's size, and a confidence. They are
+matched by an inverted index: a rule is filed under its rarest token, URLs are joined to it by
+token, and the rest of its tokens is checked.
+
+Tokens of one URL imply each other: a domain its parents and its labels, a parameter with its value
+the parameter. A rule with an implied token fits the same URLs as the rule without it, and would
+double the sets to mine. So a labelled URL is mined once per domain token and once without, each
+time without the tokens that the domain implies, and sets of the different turns are kept apart.
 """
 
 from __future__ import annotations
@@ -54,7 +60,39 @@ def url_tokens(host: Column, path: Column, tail: Column) -> Column:
         F.transform(parameters, lambda x: F.concat(F.lit("parameter:"), F.substring_index(x, "=", 1))),
         F.transform(F.filter(fragment, lambda x: x != ""), lambda x: F.concat(F.lit("fragment:"), x)),
     )
-    return F.array_distinct(F.filter(tagged, lambda x: ~F.endswith(x, F.lit(":"))))
+    return F.array_distinct(F.filter(tagged, lambda x: ~F.rlike(x, F.lit(r"^[a-z]+:$"))))
+
+
+def _wider(token: Column) -> Column:
+    """The next wider token that ``token`` implies: the parent domain, the pair's parameter."""
+    domain = F.regexp_extract(token, r"(?s)^domain:[^.]*\.(.+)$", 1)
+    pair = F.regexp_extract(token, r"(?s)^query:([^=]*)", 1)
+    return F.when(domain != "", F.concat(F.lit("domain:"), domain)).when(
+        pair != "", F.concat(F.lit("parameter:"), pair)
+    )
+
+
+def _turns(tokens: Column, bad: Column) -> Column:
+    """The baskets of one row: one for each of its domain tokens and one without. All items but
+    the domain carry the number of its labels, or 0, so that turns do not count together."""
+    is_domain = lambda x: F.startswith(x, F.lit("domain:"))
+    domains = F.concat(F.filter(tokens, is_domain), F.array(F.lit("")))
+    others = F.filter(tokens, lambda x: ~is_domain(x))
+
+    def basket(domain: Column) -> Column:
+        name = F.substring_index(domain, ":", -1)
+        level = F.when(domain == "", F.lit("0 ")).otherwise(
+            F.concat((F.size(F.split(name, r"\."))).cast("string"), F.lit(" "))
+        )
+        labels = F.transform(F.split(name, r"[.\-]"), lambda x: F.concat(F.lit("host:"), x))
+        left = F.when(domain == "", others).otherwise(F.array_except(others, labels))
+        return F.concat(
+            F.filter(F.array(domain), lambda x: x != ""),
+            F.transform(left, lambda x: F.concat(level, x)),
+            F.filter(F.array(F.when(bad, F.concat(level, F.lit(BAD)))), lambda x: x.isNotNull()),
+        )
+
+    return F.transform(domains, basket)
 
 
 def mine_rules(
@@ -64,43 +102,53 @@ def mine_rules(
 ) -> DataFrame:
     """(rule, confidence): token sets that imply a bad label, from (tokens, bad) rows.
 
-    A rule needs ``min_support_rows`` bad rows. Rules that contain a shorter rule with the same or
-    a higher confidence are pruned. Rows without tokens or with a NULL label do not count; without
-    rows there are no rules.
+    A rule needs ``min_support_rows`` bad rows. Only rules are listed without which fewer URLs
+    would be judged bad: one that contains a shorter rule fits no URL that the shorter does not,
+    and one with a token whose wider token has the same rows none that the wider one's does not.
+    So a token that is a rule alone is in no longer one and is not mined further, nor is a token
+    as frequent as its wider one. Rows without tokens or with a NULL label do not count; without
+    rows there are no rules. Tokens with a repeated place in a row count once.
     """
     rows = labelled.where("bad IS NOT NULL AND size(tokens) > 0")
-    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"), "labelled-urls")
-    # A token in fewer bad rows than a rule needs is in no rule; without it the mining stays cheap.
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("tokens"), "bad"), "labelled-urls")
     tokens = rows.select("row", "bad", F.explode("tokens").alias("t"))
-    useful = tokens.where("bad").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support_rows)
-    useful = stored(useful.select("t"), "useful-tokens")
+    # A token in fewer bad rows than a rule needs is in no rule.
+    counts = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("n_bad"))
+    counts = stored(counts.where(F.col("n_bad") >= min_support_rows), "token-counts")
+    confidence = F.col("n_bad") / F.col("n")
+    wider = counts.select(F.col("t").alias("w"), F.col("n").alias("n_w"), F.col("n_bad").alias("bad_w"))
+    same = (F.col("w") == _wider(F.col("t"))) & (F.col("n") == F.col("n_w")) & (F.col("n_bad") == F.col("bad_w"))
+    kept = counts.join(wider, same, "left_anti")
+    alone = kept.where(confidence >= min_confidence).select(F.array("t").alias("rule"), confidence.alias("confidence"))
+    useful = stored(kept.where(confidence < min_confidence).select("t"), "useful-tokens")
     size = useful.agg(F.sum(F.octet_length("t") + 64)).first()[0]
     left = tokens.join(sized_broadcast(useful, size, BROADCAST_LIMIT), "t").groupBy("row")
     left = left.agg(F.collect_list("t").alias("tokens"), F.first("bad").alias("bad"))
-    baskets = left.select(
-        F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")
-    )
-    baskets = stored(baskets, "baskets")
+    baskets = left.select(F.explode(_turns(F.col("tokens"), F.col("bad"))).alias("items"))
+    baskets = stored(baskets.where(F.size("items") > 0), "baskets")
     n = baskets.count()
     spark = labelled.sparkSession
     if n == 0:
-        return spark.createDataFrame([], "rule array<string>, confidence double")
+        return stored(alone, "rules")
     support = (min_support_rows - 0.5) / n  # Spark rounds up to rows
     growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence)
     model = growth.setNumPartitions(shuffle_partitions(spark)).fit(baskets)  # stored, they may be one file
-    found = model.associationRules.where(F.col("consequent")[0] == BAD).select(
-        F.array_sort("antecedent").alias("rule"), "confidence"
+    implied = model.associationRules.where(F.endswith(F.col("consequent")[0], F.lit(" " + BAD)))
+    # A turn's sets without its domain count only some rows; the turn without domains has them all.
+    whole = F.startswith(F.col("consequent")[0], F.lit("0 ")) | F.exists(
+        "antecedent", lambda x: F.startswith(x, F.lit("domain:"))
     )
-    found = stored(found, "rules")
+    bare = F.transform("antecedent", lambda x: F.regexp_replace(x, r"^\d+ ", ""))
+    found = implied.where(whole).select(F.array_sort(bare).alias("rule"), "confidence")
+    found = stored(found, "rules-with-longer")
     # A shorter rule is found through its own tokens, so only rules that share one are compared.
-    short = found.select(F.col("rule").alias("short"), F.col("confidence").alias("c"), F.col("rule")[0].alias("t"))
-    long_ = found.select("rule", "confidence", F.explode("rule").alias("t"))
+    short = found.select(F.col("rule").alias("short"), F.col("rule")[0].alias("t"))
+    long_ = found.select("rule", F.explode("rule").alias("t"))
     covered = long_.join(short, "t").where(
-        (F.size("short") < F.size("rule"))
-        & (F.col("c") >= F.col("confidence"))
-        & (F.size(F.array_except("short", "rule")) == 0)
+        (F.size("short") < F.size("rule")) & (F.size(F.array_except("short", "rule")) == 0)
     )
-    return found.join(covered.select("rule").distinct(), "rule", "left_anti")
+    least = found.join(covered.select("rule").distinct(), "rule", "left_anti")
+    return stored(alone.unionByName(least), "rules")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, key: str) -> DataFrame:
