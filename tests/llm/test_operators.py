@@ -438,6 +438,23 @@ def test_gradients_agree_with_differences():
         assert abs((up - down) / 2e-4 - dense[name][at]) < 1e-4, name
 
 
+def test_word_hashes_tell_patterns_apart():
+    """Words of repeating patterns, which cancel in hashes modulo 2**64, have different hashes."""
+    def morse(n):
+        bits = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        return bits, bits.translate(str.maketrans("ab", "ba"))
+
+    words = [w for n in (1, 2, 63, 64, 65, 1024, 4096) for w in (*morse(n), "a" * n)]
+    words = list(dict.fromkeys(words)) + ["ab" * 300, "ba" * 300, "É", "é"]
+    texts = [" ".join(words), words[-5], "", "\t" + words[3].upper()]
+    data = [t.encode() for t in texts]
+    starts = np.cumsum([0, *map(len, data)])
+    hashes, counts = part_enum.word_hashes(np.frombuffer(b"".join(data), np.uint8), starts)
+    assert counts.tolist() == [len(words), 1, 0, 1]
+    assert len(set(hashes[: len(words)].tolist())) == len(words)
+    assert hashes[len(words)] == hashes[len(words) - 5] and hashes[-1] == hashes[3]
+
+
 # ---- pages and URLs
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>

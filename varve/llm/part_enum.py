@@ -41,7 +41,6 @@ SAMPLE_COPIES = 3
 MOST_FREQUENT = 500_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,16 +51,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_CODE = mix(np.arange(256, dtype=np.uint64))
+# Every byte at every place of a word has a number of its own; those of the first places are kept.
+_PLACES = 64
+_CODE = mix(np.arange(_PLACES << 8, dtype=np.uint64))
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -69,6 +63,7 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of the texts laid end to end in ``data`` (UTF-8), and the
     number of words of each text. ``starts`` has each text's first byte and the end of the last.
+    Equal words have equal hashes; links rest on different ones having different hashes.
     """
     data = _LOWER[data]
     inside = ~_IS_SPACE[data]
@@ -79,12 +74,16 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     after[-1:], after[:-1] = False, inside[1:]
     after[starts[1:][starts[1:] > 0] - 1] = False
     first, last = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    # A word's hash is a difference of running sums, shifted back by its place.
-    inverse = pow(_BASE, -1, 1 << 64)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODE[data] * _powers(inverse, len(data)), dtype=np.uint64, out=sums[1:])
-    hashes = (sums[last] - sums[first]) * _powers(_BASE, len(data) + 1)[first]
-    length = (last - first).astype(np.uint64)
+    # A word's hash is the sum of its bytes' numbers by place, which no repeating pattern cancels.
+    sizes = last - first
+    flat = np.flatnonzero(inside)
+    begins = np.cumsum(sizes) - sizes
+    key = ((np.arange(len(flat)) - np.repeat(begins, sizes)) << 8) | data[flat]
+    late = key >= len(_CODE)
+    codes = _CODE[np.where(late, 0, key)]
+    codes[late] = mix(key[late].astype(np.uint64))
+    hashes = np.add.reduceat(codes, begins) if len(begins) else np.zeros(0, np.uint64)
+    length = sizes.astype(np.uint64)
     counts = np.diff(np.searchsorted(first, starts))
     return mix(hashes ^ mix(length)), counts
 
