@@ -71,3 +71,12 @@ def test_sources_meet_without_a_join(spark):
     ids = spark.range(100)
     frames = [ids.groupBy((F.col("id") % 7).alias("k")).agg(F.max("id").alias(n)) for n in "abc"]
     assert "Join" not in physical_plan(align(frames, "k"))
+
+
+def test_more_sources_than_a_number_has_bits(spark):
+    frames = [spark.createDataFrame([(1, i), (i, i)] if i != 1 else [(1, i)], f"k int, v{i} int") for i in range(70)]
+    got = {r["k"]: r for r in align(frames, "k").collect()}
+    assert len(got) == 70 and all(got[1][f"v{i}"] == i for i in range(70)) and got[69]["v69"] == 69
+    frames[65] = frames[65].unionByName(frames[65])
+    with pytest.raises(Exception, match="repeats a value"):
+        align(frames, "k").collect()

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _OWNER = "_null_owner"
-_SOURCE = "_source_bit"
+_SOURCE = "_source_bits"
+_BITS = 60  # in one number
 
 
 def align(sources: Sequence[DataFrame], key: str, detail: DataFrame | None = None) -> DataFrame:
@@ -35,10 +37,14 @@ def align(sources: Sequence[DataFrame], key: str, detail: DataFrame | None = Non
 
 
 def _merge(sources: Sequence[DataFrame], key: str) -> DataFrame:
+    words = [f"{_SOURCE}{n}" for n in range((len(sources) - 1) // _BITS + 1)]
     # The owner keeps the NULL keys of different sources in different groups.
     tagged = [
         source.withColumns(
-            {_OWNER: F.when(F.col(key).isNull(), F.lit(i)), _SOURCE: F.lit(1 << i).cast("bigint")}
+            {
+                _OWNER: F.when(F.col(key).isNull(), F.lit(i)),
+                **{w: F.lit(1 << i % _BITS if n == i // _BITS else 0).cast("bigint") for n, w in enumerate(words)},
+            }
         )
         for i, source in enumerate(sources)
     ]
@@ -46,7 +52,7 @@ def _merge(sources: Sequence[DataFrame], key: str) -> DataFrame:
     values = [c for source in sources for c in source.columns if c != key]
     merged = stacked.groupBy(key, _OWNER).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in values],
-        (F.count(F.lit(1)) == F.bit_count(F.bit_or(_SOURCE))).alias("_once"),
+        (F.count(F.lit(1)) == reduce(add, [F.bit_count(F.bit_or(w)) for w in words])).alias("_once"),
     )
     repeated = F.raise_error(F.lit(f"align: a source repeats a value of {key}"))
     checked = merged.where(F.when(F.col("_once"), F.lit(True)).otherwise(repeated.cast("boolean")))

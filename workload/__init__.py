@@ -1,6 +1,6 @@
 """The library's operators run on the test tables, each beside the SQL it must agree with."""
 
-from workload import cells, climate, counts, filters, joins, reshape, storage, timeline, versions
+from workload import cells, climate, counts, filters, joins, nested, reshape, storage, timeline, versions
 from workload.registry import REGISTRY, Query
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "counts",
     "filters",
     "joins",
+    "nested",
     "reshape",
     "storage",
     "timeline",

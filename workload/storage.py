@@ -65,22 +65,24 @@ def typed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(year(ts) AS VARCHAR) AS "Year", CAST(event_id AS VARCHAR) AS id, event_type AS kind FROM events
 """)
 def embedded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables in text files: one with a byte order mark, one with its columns in another order."""
+    """Tables in text files of up to 5,000 rows: plain ones, some with their columns in another
+    order, some with a byte order mark."""
     path = scratch_path(spark, "embedded")
     year = F.year("ts").cast("string")
-    group = (F.col("event_id") % 3).cast("int")
-    cells = F.when(group == 1, F.concat_ws(",", year, "event_type", "event_id"))
+    group = F.floor(F.col("event_id") / 5000).cast("int")
+    cells = F.when(group % 3 == 1, F.concat_ws(",", year, "event_type", "event_id"))
     rows = table(spark, sf_dir, "events").select(
         group.alias("g"),
         F.col("event_id").alias("place"),
         cells.otherwise(F.concat_ws(",", year, "event_id", "event_type")).alias("line"),
     )
-    around = spark.createDataFrame(
-        [(0, -2, "Some title"), (0, -1, "Year,id,kind"), (1, -1, "Year,kind,id"), (2, -1, "\ufeffYear,id,kind")]
-        + [(g, 2**60 + i, line) for g in range(3) for i, line in enumerate(["", "Year,id", "1999,x"])],
-        "g int, place long, line string",
-    )
-    ordered = rows.unionByName(around).repartition(3, "g").sortWithinPartitions("g", "place")
+    title = F.when(F.col("g") % 3 == 0, F.lit("Some title"))
+    header = F.when(F.col("g") % 3 == 1, "Year,kind,id").when(F.col("g") % 3 == 2, "\ufeffYear,id,kind")
+    lines = [(-2, title), (-1, header.otherwise("Year,id,kind"))]
+    lines += [(2**60 + i, F.lit(line)) for i, line in enumerate(["", "Year,id", "1999,x"])]
+    around = F.array(*[F.struct(F.lit(at).cast("long").alias("place"), line.alias("line")) for at, line in lines])
+    around = rows.select("g").distinct().select("g", F.inline(around)).where("line IS NOT NULL")
+    ordered = rows.unionByName(around).repartition("g").sortWithinPartitions("g", "place")
     ordered.select("g", "line").write.partitionBy("g").text(path)
     return read_embedded_table(spark, path, ["Year", "id", "kind"], glob="*.txt")
 
