@@ -76,6 +76,7 @@ COMMENT_HEADING = re.compile(
 )
 COMMENT_ITEMS = {"article", "dd", "div", "li", "section"}
 LEAST_LEFT = 0.1  # of the content's text that must lie outside of side matter
+LEAST_PAGE = 0.25  # of the text outside of links that side matter must hold to be looked into
 LINKED = 0.5  # a leaf with more of its text in links is no content
 PUNCTUATION = re.compile(r"[.,;:!?。、，！？；：…]")
 
@@ -96,6 +97,9 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 def _tag_end(page: str, at: int) -> int:
     """The offset behind the tag that starts at ``at``; quoted signs do not end it."""
+    plain = page.find(">", at)
+    if plain >= 0 and page.find('"', at, plain) < 0 and page.find("'", at, plain) < 0:
+        return plain + 1
     found = _END.search(page, at)
     while found and found.group() != ">":
         close = page.find(found.group(), found.end())
@@ -104,7 +108,6 @@ def _tag_end(page: str, at: int) -> int:
         found = _END.search(page, close + 1)
     if found and found.group() == ">":
         return found.end()
-    plain = page.find(">", at)
     return plain + 1 if plain >= 0 else len(page)
 
 
@@ -297,7 +300,11 @@ def _unwrap(page: _Page, owner: np.ndarray, used: np.ndarray) -> None:
 
     That is an element around the article element with most of the content, or, if hardly any
     content lies outside of side matter, one that holds most and has a page's parts inside it.
+    Side matter with less than a quarter of the text outside of links holds no page.
     """
+    plain = np.array([len(t) for t in page.text]) * (1 - np.array(page.linked)) * used
+    if plain[page.inside(page.side)[owner]].sum() < LEAST_PAGE * plain.sum():
+        return
     weights = _weights(page, used)
     total = weights.sum()
     held = page.below(np.bincount(owner, weights, len(page.tag)))
@@ -329,25 +336,26 @@ def _mark_comments(page: _Page, owner: np.ndarray, used: np.ndarray) -> None:
     """Marks as side matter: items of one tag and class beside each other that each name a writer,
     articles inside an article that do, and what follows a heading such as "Comments" in its
     element; unless the content starts with them."""
-    writers = page.below(np.array(page.writer, int))
-    items: dict[tuple[int, str, str], list[int]] = {}
-    for i, tag in enumerate(page.tag):
-        if tag in COMMENT_ITEMS and (page.class_[i] or tag == "article") and writers[i]:
-            items.setdefault((page.parent[i], tag, page.class_[i]), []).append(i)
-    beside = Counter(zip(page.parent, page.tag, page.class_, strict=True))
     marked = [False] * len(page.tag)
-    for key, group in items.items():
-        if len(group) > 1 and len(group) == beside[key]:
-            for i in group:
-                marked[i] = True
+    if any(page.writer):
+        writers = page.below(np.array(page.writer, int))
+        items: dict[tuple[int, str, str], list[int]] = {}
+        for i, tag in enumerate(page.tag):
+            if tag in COMMENT_ITEMS and (page.class_[i] or tag == "article") and writers[i]:
+                items.setdefault((page.parent[i], tag, page.class_[i]), []).append(i)
+        beside = Counter(zip(page.parent, page.tag, page.class_, strict=True))
+        for key, group in items.items():
+            if len(group) > 1 and len(group) == beside[key]:
+                for i in group:
+                    marked[i] = True
     ends: dict[int, int] = {}  # element with such a heading, the heading's number
     for at, text in zip(page.owner, page.text, strict=True):
         if page.tag[at] in ("h2", "h3", "h4", "h5", "h6") and len(text) < 60 and COMMENT_HEADING.fullmatch(text):
             ends.setdefault(page.parent[at], at)
+    if not ends and not any(marked):
+        return
     for i in range(1, len(marked)):
         marked[i] = marked[i] or (page.parent[i] in ends and i >= ends[page.parent[i]])
-    if not any(marked):
-        return
     dropped = page.inside(marked)[owner]
     content = np.flatnonzero(_weights(page, used & ~dropped) > 0)
     first = np.flatnonzero(dropped & used)
@@ -365,9 +373,9 @@ def main_text(html_text: str) -> str:
     _unwrap(page, owner, possible)
     _mark_comments(page, owner, possible & ~page.inside(page.side)[owner])
     used = possible & ~page.inside(page.side)[owner]
-    weights = _weights(page, used)
     if not used.any():
         return ""
+    weights = _weights(page, used)
     held = page.below(np.bincount(owner, weights, len(page.tag)))
     total = float(weights.sum())
 
