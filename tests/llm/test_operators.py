@@ -17,6 +17,7 @@ from tests.llm.conftest import COPY, LONG, PASSAGE, ROWS, prose
 from varve.llm import (
     content_sort,
     gear_chunks,
+    gru_model,
     part_enum,
     positional_index,
     ring,
@@ -363,6 +364,41 @@ def test_sentencepiece_memo_is_bounded(monkeypatch, hard_texts):
 # ---- toxicity
 
 
+def test_a_score_is_over_every_window():
+    rng = np.random.default_rng(1)
+    p, projected = gru_model.new_parameters(), rng.standard_normal((50, 6 * gru_model.STATE)).astype(np.float32)
+    sizes = np.array([0, 1, 30, gru_model.WINDOW - 1, gru_model.WINDOW, gru_model.WINDOW + 1, 0, 5000, 7])
+    flat = rng.integers(0, 50, sizes.sum())
+    got = gru_model.text_logits(p, projected, flat, sizes)
+    for end, n, logit in zip(np.cumsum(sizes), sizes, got, strict=True):
+        words, best = flat[end - n : end], -np.inf
+        for first in range(max(1, n - gru_model.WINDOW + 1) if n else 0):
+            index = words[first : first + gru_model.WINDOW][:, None]
+            best = max(best, gru_model.window_logits(p, projected, index, np.ones(index.shape, np.float32))[0])
+        assert logit == pytest.approx(best, abs=1e-4)
+
+
+def test_words_in_front_flip_no_verdict():
+    rng = np.random.default_rng(2)
+    plain = [f"word{i}" for i in range(200)]
+    texts, labels = [], []
+    for i in range(300):
+        words = [str(w) for w in rng.choice(plain, 60)]
+        if i % 4 == 0:
+            at = int(rng.integers(0, 56))
+            words[at : at + 4] = ["you", "vile", "stupid", "fool"]
+        texts.append(" ".join(words))
+        labels.append(int(i % 4 == 0))
+    model = toxicity.train(texts[:200], labels[:200])
+    at = -model.shift + np.log(toxicity.THRESHOLD / (1 - toxicity.THRESHOLD))
+    unseen = texts[200:]
+    verdicts = gru_model.score_texts(model, unseen) >= at
+    assert verdicts.tolist() == [bool(y) for y in labels[200:]]
+    for n in range(1, 17):
+        longer = [" ".join([*plain[:n], t]) for t in unseen]
+        assert ((gru_model.score_texts(model, longer) >= at) == verdicts).all()
+
+
 def test_training_sample_is_bounded_and_clashes_with_no_column(spark):
     rows = [(i, f"text {i} " + ("bad" if i % 4 == 0 else "good"), i, "x", 0) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, label_id string, id int")

@@ -18,7 +18,7 @@ import numpy as np
 from varve.llm.part_enum import mix
 
 WINDOW = 24
-STRIDE = 16
+LEARN_STRIDE = 16
 WORD_ROWS = 1 << 16
 GRAM_ROWS = 1 << 18
 WORD_DIM = 8
@@ -88,16 +88,11 @@ class Model:
             self.table = room
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            self.table[used + at : used + at + len(part)] = self.gates(table_rows(part))
+            self.table[used + at : used + at + len(part)] = gate_inputs(self.parameters, table_rows(part))
         self.memo.update(zip(new, range(used, used + len(new)), strict=True))
         flat = map(self.memo.__getitem__, chain.from_iterable(cut))
         return np.fromiter(flat, np.int64, sum(map(len, cut)))
 
-    def gates(self, table) -> np.ndarray:
-        """The gates' inputs, both directions side by side, of the words of ``table``."""
-        p, x = self.parameters, word_vectors(self.parameters, table)
-        return np.concatenate([x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]], 1)
-
     def forget(self) -> None:
         """Empties the table, as is due when the parameters change."""
         self.memo.clear()
@@ -126,6 +121,12 @@ def new_parameters(seed: int = 5) -> dict[str, np.ndarray]:
     return p
 
 
+def gate_inputs(p, table) -> np.ndarray:
+    """The gates' inputs, both directions side by side, of the words of ``table``."""
+    x = word_vectors(p, table)
+    return np.concatenate([x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]], 1)
+
+
 def word_vectors(p, table):
     """Inputs of distinct words from their table rows."""
     word_rows, flat, sizes = table
@@ -254,10 +255,11 @@ class Adam:
 
 
 def windows_of(n: int) -> np.ndarray:
-    """First words of the overlapping windows of a text of ``n`` words; the last reaches its end."""
+    """First words of the windows of a text of ``n`` words that training picks examples from; the
+    last reaches the text's end. Scores are over all windows, see :func:`text_logits`."""
     if n <= WINDOW:
         return np.zeros(min(n, 1), np.int64)
-    starts = np.arange(0, n - WINDOW, STRIDE)
+    starts = np.arange(0, n - WINDOW, LEARN_STRIDE)
     return np.r_[starts, n - WINDOW]
 
 
@@ -270,10 +272,11 @@ def _layout(starts, ends, width=WINDOW):
 
 MEMO_LIMIT = 60_000
 SCORE_BATCH = 2048
+SLIDE_BATCH = 2048
 
 
 def best_windows(p, projected, flat, sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word in it, logit) of all windows of texts given as rows of ``projected``.
+    """(text, first word in it, logit) of spread windows of texts given as rows of ``projected``.
 
     ``flat`` has the rows of all texts' words end to end, ``sizes`` each text's number of words.
     """
@@ -294,13 +297,75 @@ def best_windows(p, projected, flat, sizes) -> tuple[np.ndarray, np.ndarray, np.
     return owner, within, logits
 
 
+def sliding_logits(p, x) -> np.ndarray:
+    """Logits of the windows that begin at every word but the last ``WINDOW - 1``.
+
+    ``x`` has the words' gate inputs as columns, so step t of all windows is one slice of it.
+    """
+    n = x.shape[1] - WINDOW + 1
+    states = np.empty((WINDOW, 2 * STATE, n), np.float32)
+    for low, way, order in ((0, "f", range(WINDOW)), (1, "b", range(WINDOW - 1, -1, -1))):
+        u = -p[f"U{way}"][:, : 2 * STATE].T  # negated, as the logistic function takes it
+        u_new = p[f"U{way}"][:, 2 * STATE :].T.copy()
+        place = slice(low * STATE, low * STATE + STATE)
+        at = 3 * STATE * low
+        h = np.zeros((STATE, n), np.float32)
+        gates = np.empty((2 * STATE, n), np.float32)
+        for t in order:
+            np.matmul(u, h, out=gates)
+            gates -= x[at : at + 2 * STATE, t : t + n]
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            gates[STATE:] *= h
+            new = states[t, place]
+            np.matmul(u_new, gates[STATE:], out=new)
+            new += x[at + 2 * STATE : at + 3 * STATE, t : t + n]
+            np.tanh(new, out=new)
+            new -= h
+            new *= gates[:STATE]
+            new += h
+            h = new
+    attention, output = p["A"].T.copy(), p["o"]
+    e, value = np.empty((WINDOW, n), np.float32), np.empty((WINDOW, n), np.float32)
+    for t in range(WINDOW):
+        q = attention @ states[t]
+        np.tanh(q, out=q)
+        np.matmul(p["v"], q, out=e[t])
+        np.matmul(output, states[t], out=value[t])
+    e = np.exp(e - e.max(0))
+    return (e * value).sum(0) / e.sum(0) + p["c"][0]
+
+
+def text_logits(p, projected, flat, sizes) -> np.ndarray:
+    """Every text's highest logit over the windows that begin at each of its words and fit in it
+    (a shorter text is one window); minus infinity without words. Arguments as for
+    :func:`best_windows`.
+    """
+    best = np.full(len(sizes), -np.inf, np.float32)
+    wide = sizes >= WINDOW
+    in_wide = np.repeat(wide, sizes)
+    owner, _, logits = best_windows(p, projected, flat[~in_wide], sizes * ~wide)
+    best[owner] = logits
+    if not wide.any():
+        return best
+    flat, sizes = flat[in_wide], sizes[wide]
+    logits = np.empty(len(flat) - WINDOW + 1, np.float32)
+    for at in range(0, len(logits), SLIDE_BATCH):
+        words = flat[at : at + SLIDE_BATCH + WINDOW - 1]
+        with np.errstate(over="ignore"):
+            logits[at : at + SLIDE_BATCH] = sliding_logits(p, np.ascontiguousarray(projected[words].T))
+    ends = np.cumsum(sizes)
+    # Windows that reach into the next text do not count.
+    across = (ends[:-1, None] - np.arange(1, WINDOW)[None, :]).ravel()
+    logits[across] = -np.inf
+    best[wide] = np.maximum.reduceat(logits, ends - sizes)
+    return best
+
+
 def score_texts(model: Model, texts: list[str]) -> np.ndarray:
     """The highest window logit of every text; minus infinity without words."""
     cut = [words_of(t) for t in texts]
-    best = np.full(len(texts), -np.inf)
     flat = model.rows(cut)
     sizes = np.array([len(ws) for ws in cut], np.int64)
-    if len(flat):
-        owner, _, logits = best_windows(model.parameters, model.table, flat, sizes)
-        np.maximum.at(best, owner, logits)
-    return best
+    return text_logits(model.parameters, model.table, flat, sizes).astype(float)

@@ -27,8 +27,7 @@ THRESHOLD = 0.7
 ROUNDS = 4
 STEPS = 100
 BATCH = 72
-CALIBRATION = 4  # every fourth text of the sample only sets the threshold, if there are enough
-ENOUGH_TOXIC = 120
+FOLDS = 3  # the threshold is set on scores by networks that have not seen the text's fold
 FEATURES = 1 << 20
 LEAST_ODDS = 1.5  # a seed's log odds, and how far beyond chance its count must be
 LEAST_SPREADS = 4
@@ -60,10 +59,11 @@ def _seeds(vocabulary, numbered, labels):
     return clear[of_word].any(1)
 
 
-def _examples(numbered, labels, seeds, rng):
-    """(text, first word, label) windows to start from."""
+def _examples(numbered, labels, learned, seeds, rng):
+    """(text, first word, label) windows of the texts ``learned`` to start from."""
     found = []
-    for i, (words, label) in enumerate(zip(numbered, labels.tolist(), strict=True)):
+    for i in learned.tolist():
+        words, label = numbered[i], int(labels[i])
         if label:
             for k in np.flatnonzero(seeds[words])[:40].tolist():
                 first = k - int(rng.integers(0, net.WINDOW))
@@ -77,8 +77,7 @@ def _examples(numbered, labels, seeds, rng):
 
 def train(texts: list[str], labels: list[int], seed: int = 3) -> net.Model:
     """A model from labelled texts; without both labels, one that scores every text 0."""
-    p = net.new_parameters(seed)
-    model = net.Model(p)
+    model = net.Model(net.new_parameters(seed))
     labels = np.array(labels, np.int64)
     if not labels.any() or labels.all():
         model.empty = True
@@ -88,35 +87,51 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> net.Model:
         np.array([numbers.setdefault(w, len(numbers)) for w in net.words_of(t)], np.int32) for t in texts
     ]
     vocabulary = list(numbers)
-    rng = np.random.default_rng(seed)
-    spared = np.arange(len(texts)) % CALIBRATION == 0
-    if labels.sum() < ENOUGH_TOXIC:
-        spared[:] = False
-    learned = np.flatnonzero(~spared)
-    seeds = _seeds(vocabulary, [numbered[i] for i in learned], labels[learned])
-    examples = [e for e in _examples(numbered, labels, seeds, rng) if not spared[e[0]]]
-    adam = net.Adam(p, RATE)
     rows = [net.table_rows(vocabulary[k : k + 10_000]) for k in range(0, len(vocabulary), 10_000)]
     word_rows, flat, sizes = (np.concatenate(r) for r in zip(*rows, strict=True))
     tables = (word_rows, flat, sizes, np.cumsum(sizes) - sizes)
     del rows
+    everything = np.arange(len(texts))
+    fit = _fit(vocabulary, numbered, labels, tables, everything, seed)
+    if fit is None:
+        model.empty = True
+        return model
+    best = np.zeros(len(texts))
+    for fold in range(FOLDS):
+        spared = everything[everything % FOLDS == fold]
+        learned = everything[everything % FOLDS != fold]
+        apart = _fit(vocabulary, numbered, labels, tables, learned, seed) if len(spared) else None
+        laid, many = _laid(numbered, spared)
+        judge = fit if apart is None else apart
+        best[spared] = net.text_logits(judge, _gates(judge, tables, len(vocabulary)), laid, many)
+    model.parameters = fit
+    _calibrate(model, best, labels)
+    return model
+
+
+def _fit(vocabulary, numbered, labels, tables, learned, seed):
+    """Parameters learnt from the texts ``learned``; None where they hold nothing to tell apart."""
     others, toxic = learned[labels[learned] == 0], learned[labels[learned] == 1]
+    if not len(others) or not len(toxic):
+        return None
+    p = net.new_parameters(seed)
+    rng = np.random.default_rng(seed)
+    seeds = _seeds(vocabulary, [numbered[i] for i in learned], labels[learned])
+    examples = _examples(numbered, labels, learned, seeds, rng)
+    adam = net.Adam(p, RATE)
 
     def scores(chosen):
-        """(text, first word, logit) arrays of all windows of the chosen texts."""
-        parts = [range(k, min(k + 20_000, len(vocabulary))) for k in range(0, len(vocabulary), 20_000)]
-        gates = np.concatenate([model.gates(_part(tables, np.array(part))) for part in parts])
-        some = [numbered[i] for i in chosen]
-        laid = np.concatenate([np.zeros(0, np.int32), *some])
-        owner, first, logits = net.best_windows(p, gates, laid, np.array([len(s) for s in some], np.int64))
+        """(text, first word, logit) arrays of windows of the chosen texts."""
+        laid, many = _laid(numbered, chosen)
+        gates = _gates(p, tables, len(vocabulary))
+        owner, first, logits = net.best_windows(p, gates, laid, many)
         return chosen[owner], first, logits
 
     for turn in range(ROUNDS):
         positive = [e for e in examples if e[2]]
         negative = [e for e in examples if not e[2]]
         if not positive or not negative:
-            model.empty = not positive
-            return model
+            return None if not positive else p
         for step in range(STEPS):
             adam.rate = RATE * (1 - 0.9 * (turn * STEPS + step) / (ROUNDS * STEPS))
             some = [positive[k] for k in rng.integers(0, len(positive), BATCH // 3)]
@@ -124,12 +139,19 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> net.Model:
             _step(adam, numbered, tables, some)
         if turn < ROUNDS - 1:
             examples = examples + _mined(*scores(others), 4, 0) + _mined(*scores(toxic), 1, 1)
-    judged = np.flatnonzero(spared) if spared.any() else learned
-    owner, _, logits = scores(judged)
-    best = np.full(len(texts), -20.0)
-    np.maximum.at(best, owner, logits)
-    _calibrate(model, best[judged], labels[judged])
-    return model
+    return p
+
+
+def _laid(numbered, chosen):
+    """The words of the chosen texts end to end, and how many each text has."""
+    some = [numbered[i] for i in chosen]
+    return np.concatenate([np.zeros(0, np.int32), *some]), np.array([len(s) for s in some], np.int64)
+
+
+def _gates(p, tables, n):
+    """The gates' inputs of all words of the vocabulary."""
+    parts = [np.arange(k, min(k + 20_000, n)) for k in range(0, n, 20_000)]
+    return np.concatenate([net.gate_inputs(p, _part(tables, part)) for part in parts])
 
 
 def _part(tables, chosen):
@@ -165,8 +187,8 @@ def _mined(owner, first, logits, most, label):
 
 
 def _calibrate(model, best, labels):
-    """Puts the threshold where the training texts part best: most toxic ones above, then the
-    middle of the gap."""
+    """Puts the threshold where the texts part best by scores of networks that have not seen them:
+    most toxic ones above, then the middle of the gap."""
     best = np.where(np.isfinite(best), best, -20.0)
     order = np.unique(best)
     middles = (order[1:] + order[:-1]) / 2 if len(order) > 1 else order
@@ -230,8 +252,9 @@ def score_toxicity(
     """The rows of ``docs`` with ``score`` (0 to 1), ``predicted`` (score >= 0.7) and ``held_out``.
 
     The network learns from the labelled rows that are not held out, see :func:`training_sample`,
-    whose bounds ``sample`` may set; only their texts and labels are used. Every text is scored
-    whole, by windows that overlap by a third. NULL, empty and wordless texts score 0. Without
+    whose bounds ``sample`` may set; only their texts and labels are used. The threshold is set by
+    cross-validation over them, at every size. A text's score is that of its highest window, over
+    the windows that begin at each of its words. NULL, empty and wordless texts score 0. Without
     labels of both kinds every text scores 0. Repeated rows score alike. An empty table gives no
     rows. Columns of ``docs`` with the new names are replaced; others, as ``toxic``, stay.
     """
