@@ -361,6 +361,35 @@ def test_sentencepiece_memo_is_bounded(monkeypatch, hard_texts):
         assert pieces.encode(part)[0].tolist() == [i for t in part for i in library.encode(t)]
 
 
+@pytest.mark.parametrize("length", [1, 3, 7, 64])
+def test_chunk_maps_compose_wherever_words_are_cut(length):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counter = token_transducer.Counter(open(path, "rb").read())
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    rng = np.random.default_rng(length)
+    parts = ["the", "ing", "tion", "a", " ", "\n", "Σ", "漢", "🙂", "'s", "12", ".", "é", "<|endoftext|>"]
+    texts = ["", " ", "a" * 3000, "ab" * 900, "ha" * 700 + "n", "".join(rng.choice(list("aeinrst"), 2000))]
+    texts += ["".join(rng.choice(parts, rng.integers(1, 200))) for _ in range(300)]
+    lines, added = zip(*map(counter.words, texts), strict=True)
+    symbols, sizes = [], []
+    for data in lines:
+        words = data.split(b"\n") if data else []
+        laid = [b + 256 * (i == len(w) - 1) for w in words for i, b in enumerate(w)]
+        symbols += laid
+        sizes.append(len(laid))
+    maps = token_transducer.ChunkMaps(
+        counter.transducer, np.array(symbols, np.int64), np.array(sizes, np.int64), length
+    )
+    truth = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert (maps.composed() + np.array(added)).tolist() == truth
+    # Maps hold several entries, and every state in which a chunk is left is an entry of the next.
+    lanes = [np.concatenate(part).tolist() for part in zip(*maps.lanes, strict=True)]
+    entries = set(zip(lanes[0], lanes[1], strict=True))
+    assert len(entries) == len(lanes[0]) > len(maps.starts)
+    assert all(maps.ends_text[c] or (c + 1, left) in entries for c, left in zip(lanes[0], lanes[2], strict=True))
+
+
 # ---- toxicity
 
 
