@@ -76,10 +76,14 @@ class Model:
         The table holds the gates' inputs (both directions) of the words met so far, a bounded
         number beyond those of the texts at hand.
         """
-        new = set().union(*cut).difference(self.memo)
+        laid = list(chain.from_iterable(cut))
+        found = list(map(self.memo.get, laid))
+        if None not in found:
+            return np.array(found, np.int64)
+        new = {word for word, row in zip(laid, found, strict=True) if row is None}
         if len(self.memo) + len(new) > MEMO_LIMIT:
             self.forget()
-            new = set().union(*cut)
+            new = set(laid)
         new = list(new)
         used = len(self.memo)
         if used + len(new) > len(self.table):
@@ -90,8 +94,7 @@ class Model:
             part = new[at : at + 20_000]
             self.table[used + at : used + at + len(part)] = gate_inputs(self.parameters, table_rows(part))
         self.memo.update(zip(new, range(used, used + len(new)), strict=True))
-        flat = map(self.memo.__getitem__, chain.from_iterable(cut))
-        return np.fromiter(flat, np.int64, sum(map(len, cut)))
+        return np.fromiter(map(self.memo.__getitem__, laid), np.int64, len(laid))
 
     def forget(self) -> None:
         """Empties the table, as is due when the parameters change."""
@@ -270,7 +273,7 @@ def _layout(starts, ends, width=WINDOW):
     return np.minimum(index, np.maximum(ends - 1, 0)[None, :]), mask
 
 
-MEMO_LIMIT = 60_000
+MEMO_LIMIT = 200_000
 SCORE_BATCH = 2048
 SLIDE_BATCH = 2048
 
@@ -304,39 +307,45 @@ def sliding_logits(p, x) -> np.ndarray:
     """
     n = x.shape[1] - WINDOW + 1
     states = np.empty((WINDOW, 2 * STATE, n), np.float32)
-    for low, way, order in ((0, "f", range(WINDOW)), (1, "b", range(WINDOW - 1, -1, -1))):
-        u = -p[f"U{way}"][:, : 2 * STATE].T  # negated, as the logistic function takes it
-        u_new = p[f"U{way}"][:, 2 * STATE :].T.copy()
-        place = slice(low * STATE, low * STATE + STATE)
-        at = 3 * STATE * low
-        h = np.zeros((STATE, n), np.float32)
-        gates = np.empty((2 * STATE, n), np.float32)
-        for t in order:
-            np.matmul(u, h, out=gates)
-            gates -= x[at : at + 2 * STATE, t : t + n]
-            np.exp(gates, out=gates)
-            gates += 1
-            np.reciprocal(gates, out=gates)
-            gates[STATE:] *= h
-            new = states[t, place]
-            np.matmul(u_new, gates[STATE:], out=new)
-            new += x[at + 2 * STATE : at + 3 * STATE, t : t + n]
-            np.tanh(new, out=new)
-            new -= h
-            new *= gates[:STATE]
-            new += h
-            h = new
-    attention, output = p["A"].T.copy(), p["o"]
+    _steps(p["Uf"], x[: 3 * STATE], range(WINDOW), states[:, :STATE])
+    _steps(p["Ub"], x[3 * STATE :], range(WINDOW - 1, -1, -1), states[:, STATE:])
+    attention, q = p["A"].T.copy(), np.empty((2 * STATE, n), np.float32)
     e, value = np.empty((WINDOW, n), np.float32), np.empty((WINDOW, n), np.float32)
     for t in range(WINDOW):
-        q = attention @ states[t]
+        np.matmul(attention, states[t], out=q)
         np.tanh(q, out=q)
         np.matmul(p["v"], q, out=e[t])
-        np.matmul(output, states[t], out=value[t])
+        np.matmul(p["o"], states[t], out=value[t])
     e = np.exp(e - e.max(0))
     return (e * value).sum(0) / e.sum(0) + p["c"][0]
 
 
+def _steps(u, x, order, states) -> None:
+    """Fills ``states`` (time, state, window) in one direction.
+
+    The logistic function is taken as a hyperbolic tangent: 2 / (1 + exp(-a)) = 1 + tanh(a / 2).
+    """
+    n = states.shape[2]
+    u_gates, u_new = 0.5 * u[:, : 2 * STATE].T, 0.5 * u[:, 2 * STATE :].T
+    x_gates, x_new = 0.5 * x[: 2 * STATE], x[2 * STATE :]
+    h, gates = np.zeros((STATE, n), np.float32), np.empty((2 * STATE, n), np.float32)
+    for t in order:
+        np.matmul(u_gates, h, out=gates)
+        gates += x_gates[:, t : t + n]
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates[STATE:] *= h
+        new = states[t]
+        np.matmul(u_new, gates[STATE:], out=new)
+        new += x_new[:, t : t + n]
+        np.tanh(new, out=new)
+        new -= h
+        gates[:STATE] *= 0.5
+        new *= gates[:STATE]
+        new += h
+        h = new
+
+
 def text_logits(p, projected, flat, sizes) -> np.ndarray:
     """Every text's highest logit over the windows that begin at each of its words and fit in it
     (a shorter text is one window); minus infinity without words. Arguments as for
@@ -353,8 +362,7 @@ def text_logits(p, projected, flat, sizes) -> np.ndarray:
     logits = np.empty(len(flat) - WINDOW + 1, np.float32)
     for at in range(0, len(logits), SLIDE_BATCH):
         words = flat[at : at + SLIDE_BATCH + WINDOW - 1]
-        with np.errstate(over="ignore"):
-            logits[at : at + SLIDE_BATCH] = sliding_logits(p, np.ascontiguousarray(projected[words].T))
+        logits[at : at + SLIDE_BATCH] = sliding_logits(p, np.ascontiguousarray(projected[words].T))
     ends = np.cumsum(sizes)
     # Windows that reach into the next text do not count.
     across = (ends[:-1, None] - np.arange(1, WINDOW)[None, :]).ravel()
