@@ -428,6 +428,21 @@ def test_words_in_front_flip_no_verdict():
         assert ((gru_model.score_texts(model, longer) >= at) == verdicts).all()
 
 
+def test_training_hashes_a_word_once_and_learns_alike_side_by_side(monkeypatch):
+    plain = [f"word{i}" for i in range(80)]
+    texts = [" ".join([*plain[i : i + 20], *(["vile", "fool"] if i % 3 == 0 else [])]) for i in range(60)]
+    labels = [int(i % 3 == 0) for i in range(60)]
+    hashed, features = [], toxicity._features
+    monkeypatch.setattr(toxicity, "_features", lambda word: hashed.append(word) or features(word))
+    monkeypatch.setattr(toxicity, "STEPS", 5)
+    model = toxicity.train(texts, labels)
+    assert len(hashed) == len(set(hashed)) == len(set(" ".join(texts).split(" ")))
+    monkeypatch.setattr(toxicity, "FITS_AT_ONCE", 1)
+    alone = toxicity.train(texts, labels)
+    assert not model.empty and model.shift == alone.shift
+    assert all((model.parameters[k] == alone.parameters[k]).all() for k in model.parameters)
+
+
 def test_training_sample_is_bounded_and_clashes_with_no_column(spark):
     rows = [(i, f"text {i} " + ("bad" if i % 4 == 0 else "good"), i, "x", 0) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, label_id string, id int")

@@ -325,8 +325,14 @@ def _steps(u, x, order, states) -> None:
     n = states.shape[2]
     u_gates, u_new = 0.5 * u[:, : 2 * STATE].T, 0.5 * u[:, 2 * STATE :].T
     x_gates, x_new = 0.5 * x[: 2 * STATE], x[2 * STATE :]
-    h, gates = np.zeros((STATE, n), np.float32), np.empty((2 * STATE, n), np.float32)
-    for t in order:
+    first, *rest = order
+    update = np.tanh(x_gates[:STATE, first : first + n])  # the state before is zero
+    update += 1
+    update *= 0.5
+    h, gates = states[first], np.empty((2 * STATE, n), np.float32)
+    np.tanh(x_new[:, first : first + n], out=h)
+    h *= update
+    for t in rest:
         np.matmul(u_gates, h, out=gates)
         gates += x_gates[:, t : t + n]
         np.tanh(gates, out=gates)

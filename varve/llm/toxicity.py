@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ ROUNDS = 4
 STEPS = 100
 BATCH = 72
 FOLDS = 3  # the threshold is set on scores by networks that have not seen the text's fold
+FITS_AT_ONCE = 2  # networks that learn side by side on the driver, the second takes about 100 MB
 FEATURES = 1 << 20
 LEAST_ODDS = 1.5  # a seed's log odds, and how far beyond chance its count must be
 LEAST_SPREADS = 4
@@ -41,12 +43,17 @@ def _features(word):
     return [zlib.crc32(f.encode()) % FEATURES for f in names]
 
 
-def _seeds(vocabulary, numbered, labels):
-    """Whether each word holds a feature that several toxic texts and hardly any others hold."""
+def _features_of(vocabulary):
+    """The features of each word, -1 where it has fewer than four."""
     of_word = np.full((len(vocabulary), 4), -1, np.int32)
     for row, word in zip(of_word, vocabulary, strict=True):
         found = _features(word)
         row[: len(found)] = found
+    return of_word
+
+
+def _seeds(of_word, numbered, labels):
+    """Whether each word holds a feature that several toxic texts and hardly any others hold."""
     seen = np.zeros((2, FEATURES + 1), np.int32)  # the last place is for missing features
     for words, label in zip(numbered, labels.tolist(), strict=True):
         seen[label][np.unique(of_word[np.unique(words)])] += 1
@@ -91,39 +98,48 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> net.Model:
     word_rows, flat, sizes = (np.concatenate(r) for r in zip(*rows, strict=True))
     tables = (word_rows, flat, sizes, np.cumsum(sizes) - sizes)
     del rows
+    of_word = _features_of(vocabulary)
     everything = np.arange(len(texts))
-    fit = _fit(vocabulary, numbered, labels, tables, everything, seed)
+
+    def judged(judge, spared):
+        return net.text_logits(judge, _gates(judge, tables, len(vocabulary)), *_laid(numbered, spared))
+
+    def judged_apart(fold):
+        """The logits of a fold's texts by a network that has not seen them, if there is one."""
+        learned, spared = everything[everything % FOLDS != fold], everything[everything % FOLDS == fold]
+        apart = _fit(of_word, numbered, labels, tables, learned, seed) if len(spared) else None
+        return None if apart is None else judged(apart, spared)
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        whole = pool.submit(_fit, of_word, numbered, labels, tables, everything, seed)
+        folds = [pool.submit(judged_apart, fold) for fold in range(FOLDS)]
+    fit = whole.result()
     if fit is None:
         model.empty = True
         return model
     best = np.zeros(len(texts))
     for fold in range(FOLDS):
-        spared = everything[everything % FOLDS == fold]
-        learned = everything[everything % FOLDS != fold]
-        apart = _fit(vocabulary, numbered, labels, tables, learned, seed) if len(spared) else None
-        laid, many = _laid(numbered, spared)
-        judge = fit if apart is None else apart
-        best[spared] = net.text_logits(judge, _gates(judge, tables, len(vocabulary)), laid, many)
+        spared, logits = everything[everything % FOLDS == fold], folds[fold].result()
+        best[spared] = judged(fit, spared) if logits is None else logits
     model.parameters = fit
     _calibrate(model, best, labels)
     return model
 
 
-def _fit(vocabulary, numbered, labels, tables, learned, seed):
+def _fit(of_word, numbered, labels, tables, learned, seed):
     """Parameters learnt from the texts ``learned``; None where they hold nothing to tell apart."""
     others, toxic = learned[labels[learned] == 0], learned[labels[learned] == 1]
     if not len(others) or not len(toxic):
         return None
     p = net.new_parameters(seed)
     rng = np.random.default_rng(seed)
-    seeds = _seeds(vocabulary, [numbered[i] for i in learned], labels[learned])
+    seeds = _seeds(of_word, [numbered[i] for i in learned], labels[learned])
     examples = _examples(numbered, labels, learned, seeds, rng)
     adam = net.Adam(p, RATE)
 
-    def scores(chosen):
+    def scores(chosen, gates):
         """(text, first word, logit) arrays of windows of the chosen texts."""
         laid, many = _laid(numbered, chosen)
-        gates = _gates(p, tables, len(vocabulary))
         owner, first, logits = net.best_windows(p, gates, laid, many)
         return chosen[owner], first, logits
 
@@ -138,7 +154,9 @@ def _fit(vocabulary, numbered, labels, tables, learned, seed):
             some += [negative[k] for k in rng.integers(0, len(negative), BATCH - len(some))]
             _step(adam, numbered, tables, some)
         if turn < ROUNDS - 1:
-            examples = examples + _mined(*scores(others), 4, 0) + _mined(*scores(toxic), 1, 1)
+            gates = _gates(p, tables, len(of_word))
+            examples = examples + _mined(*scores(others, gates), 4, 0) + _mined(*scores(toxic, gates), 1, 1)
+            del gates
     return p
 
 
